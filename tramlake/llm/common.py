@@ -44,3 +44,29 @@ def as_bytes(name: str) -> Column:
 def crc32_of_id(name: str) -> Column:
     """crc32 of the id written as decimal text (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
+
+
+#: Bytes of a text that are split into words at once.
+BLOCK = 1 << 20
+
+
+def word_blocks(spaced: bytes, limit: int = BLOCK):
+    """The words of a text whose separators are all spaces, in lists of about `limit` bytes, so that a very long text never
+    stands in memory as one list."""
+    at, end = 0, len(spaced)
+    while end - at > limit:
+        stop = spaced.find(b" ", at + limit)
+        if stop < 0:
+            break
+        yield spaced[at:stop].split()
+        at = stop
+    yield (spaced[at:] if at else spaced).split()
+
+
+def spacing(separators) -> bytes:
+    """A bytes.translate table that lower-cases A-Z and turns the separator bytes into spaces."""
+    out = bytearray(range(256))
+    out[65:91] = LOWER.encode()
+    for b in separators:
+        out[b] = 32
+    return bytes(out)

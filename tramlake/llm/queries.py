@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tramlake.llm import mixing
+from tramlake.llm import decontaminate, mixing
 from tramlake.llm.common import table
 
 QUERIES = {
+    "op1_decontaminate": lambda spark, sf_dir: decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op9_mix_sources": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
 }
 ORACLE_SQL = {
+    "op1_decontaminate": decontaminate.SQL,
     "op9_mix_sources": mixing.SQL,
 }
