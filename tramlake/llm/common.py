@@ -50,17 +50,22 @@ def crc32_of_id(name: str) -> Column:
 BLOCK = 1 << 20
 
 
-def word_blocks(spaced: bytes, limit: int = BLOCK):
-    """The words of a text whose separators are all spaces, in lists of about `limit` bytes, so that a very long text never
-    stands in memory as one list."""
+def text_blocks(spaced: bytes, limit: int = BLOCK):
+    """A text whose separators are all spaces, cut at spaces into pieces of about `limit` bytes, so that a very long text is
+    never split into words as a whole."""
     at, end = 0, len(spaced)
     while end - at > limit:
         stop = spaced.find(b" ", at + limit)
         if stop < 0:
             break
-        yield spaced[at:stop].split()
+        yield spaced[at:stop]
         at = stop
-    yield (spaced[at:] if at else spaced).split()
+    yield spaced[at:] if at else spaced
+
+
+def word_blocks(spaced: bytes, limit: int = BLOCK):
+    """The words of text_blocks(), a list for each piece."""
+    return map(bytes.split, text_blocks(spaced, limit))
 
 
 def spacing(separators) -> bytes:

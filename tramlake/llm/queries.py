@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tramlake.llm import decontaminate, mixing, simhash, token_counts
+from tramlake.llm import decontaminate, langid, mixing, quality, simhash, token_counts
 from tramlake.llm.common import table
 
 QUERIES = {
     "op1_decontaminate": lambda spark, sf_dir: decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op2_quality": lambda spark, sf_dir: quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op5_language_id": lambda spark, sf_dir: langid.query(table(spark, sf_dir, "documents")),
     "op8_token_counts": lambda spark, sf_dir: token_counts.query(table(spark, sf_dir, "documents")),
     "op9_mix_sources": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
     "op10_simhash_near_duplicates": lambda spark, sf_dir: simhash.query(table(spark, sf_dir, "documents")),
