@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tramlake.llm import ctph, decontaminate, langid, mixing, quality, simhash, token_counts
+from tramlake.llm import ctph, decontaminate, langid, mixing, quality, simhash, token_counts, warc
 from tramlake.llm.common import table
 
 QUERIES = {
     "op1_decontaminate": lambda spark, sf_dir: decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op2_quality": lambda spark, sf_dir: quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op3_warc": lambda spark, sf_dir: warc.query(table(spark, sf_dir, "pages")),
     "op4_fingerprints": lambda spark, sf_dir: ctph.query(table(spark, sf_dir, "documents")),
     "op5_language_id": lambda spark, sf_dir: langid.query(table(spark, sf_dir, "documents")),
     "op8_token_counts": lambda spark, sf_dir: token_counts.query(table(spark, sf_dir, "documents")),
