@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramlake.llm import ctph, decontaminate, langid, licenses, mixing, quality, simhash, token_counts, warc
+from tramlake.llm import ctph, decontaminate, html_text, langid, licenses, mixing, quality, simhash, token_counts, warc
 from tramlake.llm.common import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_fingerprints": lambda spark, sf_dir: ctph.query(table(spark, sf_dir, "documents")),
     "op5_language_id": lambda spark, sf_dir: langid.query(table(spark, sf_dir, "documents")),
     "op6_licenses": lambda spark, sf_dir: licenses.query(table(spark, sf_dir, "documents")),
+    "op7_html_text": lambda spark, sf_dir: html_text.query(table(spark, sf_dir, "pages")),
     "op8_token_counts": lambda spark, sf_dir: token_counts.query(table(spark, sf_dir, "documents")),
     "op9_mix_sources": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
     "op10_simhash_near_duplicates": lambda spark, sf_dir: simhash.query(table(spark, sf_dir, "documents")),
