@@ -55,7 +55,6 @@ TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 TOKEN = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?/](?![a-zA-Z])[^>]*(?:>|\Z)|!\w[^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*(?:>|\Z)))""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-RULE = re.compile(r"([^{}]+)\{([^}]*)\}")
 SIMPLE = re.compile(r"[a-z0-9]*(?:[.#][\w-]+)?", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -126,7 +125,9 @@ def parse(html: str) -> tuple[list, set[str]]:
             data = html[at : stop.start() if stop else end]
             node[2].append(unescape(data) if tag in ("title", "textarea") else data)
             if tag == "style":
-                for selectors, rules in RULE.findall(data):
+                for rule in data.split("}"):
+                    selectors, _, rules = rule.rpartition("{")
+                    selectors = selectors.rpartition("{")[2]
                     if HIDES.search(rules):
                         hidden.update(s for s in (x.strip() for x in selectors.split(",")) if s and SIMPLE.fullmatch(s))
             at = html.find(">", stop.start()) + 1 or end if stop else end
