@@ -41,7 +41,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
     place = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
     per = per.withColumn("weight", weight.cast("long")).withColumn("cap", F.col("source_size") * epochs)
-    # Sources empty in the order of cap / weight; V is the first level that the next source to empty does not exceed.
+    # Sources empty in the order of cap / weight; V is the first level that the next source to empty
+    # does not exceed; as the levels only fall from there on, it is the largest of those.
     order = W.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     per = (
         per.withColumn("emptied", F.sum("cap").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("cap"))
@@ -50,7 +51,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
         .withColumn("try", (F.col("budget") - F.col("emptied")) / F.col("waiting"))
         .withColumn("holds", F.col("try") <= F.col("cap") / F.col("weight"))
     )
-    level = F.min(F.when(F.col("holds"), F.col("try"))).over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    level = F.max(F.when(F.col("holds"), F.col("try"))).over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     per = per.withColumn("level", level)
     target = F.least(F.col("cap").cast("double"), F.coalesce(F.col("weight") * F.col("level"), F.col("cap").cast("double")))
     return per.select("source", "source_size", "weight", "level", target.alias("target"))
@@ -98,7 +99,7 @@ tried AS (
              - (sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING) - cap)::BIGINT)
             / (sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS try
   FROM per),
-level AS (SELECT min(try) AS v FROM tried WHERE try <= cap / weight),
+level AS (SELECT max(try) AS v FROM tried WHERE try <= cap / weight),
 target AS (
   SELECT source, source_size, least(cap::DOUBLE, coalesce(weight * v, cap::DOUBLE)) AS target FROM per, level),
 queued AS (
