@@ -151,8 +151,8 @@ def stars(fps: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(fps[own].view(np.int64)), pa.array(fps[label[own]].view(np.int64))], names=["a", "b"])
 
 
-def in_shards(batches):
-    """Sorted (shard, fp) rows to stars of the shards of up to TREE fingerprints, and the rows of larger ones with their place.
+def in_shards(batches, tree: int = TREE):
+    """Sorted (shard, fp) rows to stars of the shards of up to `tree` fingerprints, and the rows of larger ones with their place.
 
     Output: kind 0: a, b are linked; kind 1: fingerprint a of shard b is the `place`-th there.
     """
@@ -189,12 +189,12 @@ def in_shards(batches):
             large = None
         head = np.flatnonzero(np.concatenate(([True], (shard[1:] != shard[:-1]).any(axis=1))))
         size = np.diff(np.concatenate((head, [len(fps)])))
-        for k in np.flatnonzero(size > TREE).tolist():
+        for k in np.flatnonzero(size > tree).tolist():
             part = slice(head[k], head[k] + size[k])
             yield out(1, fps[part], shard[part], np.arange(size[k], dtype=np.int64))
             if k == len(size) - 1:
                 large, place = shard[-1], int(size[k])
-        small = np.repeat(size <= TREE, size)
+        small = np.repeat(size <= tree, size)
         last = np.arange(len(fps)) >= head[-1]
         done = small & ~last
         if done.any():
@@ -236,7 +236,7 @@ def links(distinct: DataFrame, tree: int = TREE) -> DataFrame:
     masks = F.explode(F.array(*map(F.lit, block_masks())))
     keyed = distinct.select("fp", masks.alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("shard"))
     keyed = keyed.repartition("mask", "shard").sortWithinPartitions("mask", "shard")
-    walked = cut(keyed.mapInArrow(in_shards, "kind int, a bigint, b bigint, mask bigint, place bigint"))
+    walked = cut(keyed.mapInArrow(lambda batches: in_shards(batches, tree), "kind int, a bigint, b bigint, mask bigint, place bigint"))
     found = walked.where("kind = 0").select("a", "b")
     large = walked.where("kind = 1").select(F.col("b").alias("shard"), "mask", F.col("a").alias("fp"), F.floor(F.col("place") / tree).alias("own"))
     last = large.groupBy("shard", "mask").agg(F.max("own").alias("last"))
@@ -270,15 +270,32 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (signed long) and component_id of every row."""
-    prints = cut(fingerprints(docs))
+def components_of(prints: DataFrame, tree: int = TREE) -> DataFrame:
+    """fp (distinct) and component_id, the smallest doc_id of its component, from doc_id and fp rows."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    joined = components(links(distinct.select("fp")))
+    joined = components(links(distinct.select("fp"), tree))
     rooted = distinct.join(joined, distinct.fp == joined.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lows, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(lows, "root").select("fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, tree: int = TREE) -> DataFrame:
+    """doc_id, fp (signed long) and component_id of every row."""
+    prints = cut(fingerprints(docs))
+    return prints.join(components_of(prints, tree), "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_each(docs: DataFrame, tree: int = TREE) -> DataFrame:
+    """The row with the smallest doc_id of each component, with all its columns. Of rows that share a doc_id one stays; rows
+    without a doc_id, which nothing could name, all stay."""
+    prints = cut(fingerprints(docs))
+    kept = cut(components_of(prints, tree).select(F.col("component_id").alias("kept_id")).where("kept_id is not null").distinct())
+    repeated = cut(prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1").select("again_id"))
+    first = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    if not repeated.isEmpty():
+        same = F.col("doc_id") == F.col("again_id")
+        first = first.join(repeated, same, "left_anti").unionByName(first.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    return first.unionByName(docs.where("doc_id is null"))
 
 
 def query(docs: DataFrame) -> DataFrame:
