@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: A-Z to a-z, the only case folding that the word contracts ask for.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,6 +36,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def whole_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
+    """The columns `keep` (all by default) as one struct named row, whatever they are called."""
+    return F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row")
+
+
+def row_schema(rows: DataFrame, more: str) -> T.StructType:
+    """The type of the column row, followed by the columns of a DDL string."""
+    return T.StructType([rows.schema["row"], *T.StructType.fromDDL(more).fields])
+
+
 def as_bytes(name: str) -> Column:
     """A text column's UTF-8; null becomes empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import spacing, word_blocks
+from tramlake.llm.common import spacing, whole_row, word_blocks
 
 WINDOW = 13
 #: A document is contaminated if it has a hit word and at least one word in so many is hit.
@@ -208,12 +208,12 @@ def query_blocks(benchmark: DataFrame, limit: int = BLOCK_TEXT):
         yield index_queries(now)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], block_text: int = BLOCK_TEXT, shard_text: int = SHARD_TEXT) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, block_text: int = BLOCK_TEXT, shard_text: int = SHARD_TEXT) -> DataFrame:
     """A row a document: row (struct of the columns `keep`), n_words, spans (hit word ranges, apart), items, longest match
     (words, item, at which word), contaminated."""
     spark = docs.sparkSession
     out = docs.select(
-        F.struct(*keep).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.lit(0).cast("long").alias("n_words"),
+        whole_row(docs, keep), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"), F.lit(None).cast(LONGEST).alias("longest"),
     )
     for q in [*query_blocks(benchmark, block_text)] or [index_queries([])]:
@@ -245,7 +245,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], block_text: int
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    return find(docs, benchmark, docs.columns).where(~F.col("contaminated")).select("row.*")
+    return find(docs, benchmark).where(~F.col("contaminated")).select("row.*")
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import crc32_of_id, text_blocks
+from tramlake.llm.common import crc32_of_id, row_schema, text_blocks, whole_row
 
 FOLDS, HELD_OUT = 4, 2
 QUOTA, TRAIN_ROWS = 500, 4000
@@ -139,7 +139,7 @@ def train(docs: DataFrame) -> dict | None:
     return fit(np.stack([np.frombuffer(x, np.float16).astype(np.float32) for _, x in order]), [v for v, _ in order])
 
 
-def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
+def identify(docs: DataFrame, model: dict | None, keep: list[str] | None = None) -> DataFrame:
     """row (struct of the columns `keep`), lang_pred, score and ambiguous of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BITS bounds it: 16 kB a codeword bit
 
@@ -155,13 +155,13 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
                     lang[i] = name
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(lang), pa.array(score), pa.array(ambiguous)], names=["row", "lang_pred", "score", "ambiguous"])
 
-    rows = docs.select(F.struct(*keep).alias("row"), "text")
-    return rows.mapInArrow(told, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, ambiguous boolean")
+    rows = docs.select(whole_row(docs, keep), "text")
+    return rows.mapInArrow(told, row_schema(rows, "lang_pred string, score double, ambiguous boolean"))
 
 
 def known(docs: DataFrame) -> DataFrame:
     """The documents in an identified language, with all their columns; `und` and ambiguous ones go."""
-    return identify(docs, train(docs), docs.columns).where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select("row.*")
+    return identify(docs, train(docs)).where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

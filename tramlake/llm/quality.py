@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import as_bytes, crc32_of_id, text_blocks
+from tramlake.llm.common import as_bytes, crc32_of_id, row_schema, text_blocks, whole_row
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 TRAIN_ROWS, PASSES = 12_000, 2
@@ -112,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     return next((np.frombuffer(r.w, np.float32) for r in weights if r.w), None)
 
 
-def scored(docs: DataFrame, weights: np.ndarray | None, keep: list[str]) -> DataFrame:
+def scored(docs: DataFrame, weights: np.ndarray | None, keep: list[str] | None = None) -> DataFrame:
     """row (struct of the columns `keep`) and score of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # BITS bounds it: 1 MB
 
@@ -128,13 +128,13 @@ def scored(docs: DataFrame, weights: np.ndarray | None, keep: list[str]) -> Data
                 out.append(float(1 / (1 + np.exp(-(w[at] @ x + w[-1])))))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.float64())], names=["row", "score"])
 
-    rows = docs.select(F.struct(*keep).alias("row"), as_bytes("text").alias("text"))
-    return rows.mapInArrow(told, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    rows = docs.select(whole_row(docs, keep), as_bytes("text").alias("text"))
+    return rows.mapInArrow(told, row_schema(rows, "score double"))
 
 
 def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score THRESHOLD or more, with all their columns."""
-    return scored(docs, train(docs, labels), docs.columns).where(F.col("score") >= THRESHOLD).select("row.*")
+    return scored(docs, train(docs, labels)).where(F.col("score") >= THRESHOLD).select("row.*")
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

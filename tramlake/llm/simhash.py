@@ -289,11 +289,11 @@ def first_of_each(docs: DataFrame, tree: int = TREE) -> DataFrame:
     """The row with the smallest doc_id of each component, with all its columns. Of rows that share a doc_id one stays; rows
     without a doc_id, which nothing could name, all stay."""
     prints = cut(fingerprints(docs))
-    kept = cut(components_of(prints, tree).select(F.col("component_id").alias("kept_id")).where("kept_id is not null").distinct())
-    repeated = cut(prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1").select("again_id"))
-    first = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    kept = cut(components_of(prints, tree).select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct())
+    repeated = cut(prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("__again_id")).count().where("count > 1").select("__again_id"))
+    first = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
     if not repeated.isEmpty():
-        same = F.col("doc_id") == F.col("again_id")
+        same = F.col("doc_id") == F.col("__again_id")
         first = first.join(repeated, same, "left_anti").unionByName(first.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
     return first.unionByName(docs.where("doc_id is null"))
 
