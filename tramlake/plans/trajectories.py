@@ -61,7 +61,8 @@ def mf_json(
         if value:
             parts.append(literal(value).alias(name))
     if temporal:
-        listed = [F.struct(F.transform("i", lambda x, v=v: x[f"v_{v}"]).alias("values"), *(F.lit(x).alias(k) for k, x in ((fields or {}).get(v) or {}).items())).alias(v) for v in temporal]
+        values = lambda v: F.transform("i", lambda x: x[f"v_{v}"])
+        listed = [F.struct(values(v).alias("values"), *(F.lit(x).alias(k) for k, x in ((fields or {}).get(v) or {}).items())).alias(v) for v in temporal]
         parts.append(F.array(F.struct(times.alias("datetimes"), *listed)).alias("temporalProperties"))
     return packed.select(F.col("__id").alias(id_), F.to_json(F.struct(*parts)).alias("feature"))
 
