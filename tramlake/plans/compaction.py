@@ -108,7 +108,7 @@ def complete_periods(first: datetime, end: datetime, level: str, resume: datetim
 
 
 class Archive:
-    """A folder of level=/start= Parquet file sets with a manifest; each run adds the periods that are complete by then.
+    """A folder of set=/level=/start= Parquet file sets with a manifest; each run adds the periods that are complete by then.
 
     Periods include their start and leave out their end. A period is written to a new folder and becomes visible with its manifest
     row; file sets that a higher level replaced are deleted only after that, so a broken run can be run again.
@@ -155,13 +155,13 @@ class Archive:
             inside = (F.col("start_date") >= F.lit(periods[0][0])) & (F.col("start_date") < F.lit(periods[-1][1])) & (F.col("level") == lower)
             parts = self.manifest().where(inside)
             paths = [r.data for r in parts.select("data").distinct().collect()]  # one path a file set
-            rows = self.spark.read.option("basePath", self.folder).option("mergeSchema", "true").parquet(*paths).drop("level", "start")
+            rows = self.spark.read.option("basePath", self.folder).option("mergeSchema", "true").parquet(*paths).drop("set", "level", "start", *(f"{k}_key" for k in lower_keys))
             added += self._write(rows, parts, level, keys)
         return added
 
     def _write(self, rows: DataFrame, documents: DataFrame, level: str, keys: Sequence[str]) -> list[tuple[str, datetime]]:
         delta = time.period(level)
-        start, folder = time.bucket(F.col("date"), delta), f"{self.folder}/data-{uuid4().hex}"
+        start, folder = time.bucket(F.col("date"), delta), f"{self.folder}/set={uuid4().hex}"
         named = rows.withColumn("level", F.lit(level)).withColumn("start", F.date_format(start, "yyyy-MM-dd_HH-mm-ss"))
         codec = "snappy" if level == self.levels[0][0] else "gzip"
         named.withColumns({f"{k}_key": F.col(k) for k in keys}).write.option("compression", codec).partitionBy("level", "start", *(f"{k}_key" for k in keys)).parquet(folder)

@@ -56,7 +56,7 @@ def derive(catalog: Catalog, component: Component) -> bool:
     """Transforms the next slice of the source; False if it is not there yet.
 
     The component's function gets the source rows and its dependencies by name and returns rows of data (and, with several
-    results, the date of each); no rows, or None, become a tombstone at the slice's last date, so that the slice is done.
+    results, the date of each). Where no result has the slice's last date, a tombstone marks there that the slice is done.
     """
     start = watermark(catalog, component)
     if start is None:
@@ -70,8 +70,11 @@ def derive(catalog: Catalog, component: Component) -> bool:
     result = component.load()(rows, **dependencies(catalog, component, last))
     if result is not None and not (component.multiple and "date" in result.columns):
         result = result.select(F.lit(last).cast("timestamp_ntz").alias("date"), "data")
+    done = catalog.spark.createDataFrame([(last, None)], "date timestamp_ntz, data string")
     if result is None or result.isEmpty():
-        result = catalog.spark.createDataFrame([(last, None)], "date timestamp_ntz, data string")
+        result = done
+    elif component.multiple and result.where(F.col("date") == F.lit(last)).isEmpty():
+        result = result.select("date", "data").union(done)
     catalog.append(component.name, result.select("date", "data"), component.data_type)
     return True
 
