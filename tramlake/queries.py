@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from tramlake.functions import geo, text, time
 from tramlake.functions.numbers import rounded
 from tramlake.operators import asof, matching, ordering, statistics
-from tramlake.plans import compaction, trajectories
-from tramlake.streaming import incremental
+from tramlake.plans import compaction, gtfs, identify, rail, trajectories
+from tramlake.sources import feeds, geojson
+from tramlake.sources.catalog import Catalog
+from tramlake.streaming import incremental, runner
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -610,3 +612,153 @@ def lambert_round_trip(customer):
     p = geo.point(3.0 + (F.col("c_custkey") % 300) / 100.0, 49.5 + (F.col("c_custkey") % 200) / 100.0)
     back = customer.select("c_custkey", geo.to_degrees(geo.to_lambert(p)).alias("back"))
     return back.select("c_custkey", rounded(F.col("back.x"), 7).alias("x"), rounded(F.col("back.y"), 7).alias("y"))
+
+
+# Whole plans over the test tables
+
+
+def snapshots(events) -> DataFrame:
+    """Events as a catalog of GeoJSON snapshots, one a day, of users as moving points."""
+    rows = events.select(day().alias("date"), F.col("user_id").cast("string").alias("uuid"), F.col("event_id").alias("pointId"), geo.point(F.col("value"), F.col("event_id")).alias("geometry"))
+    once = ordering.first_of_group(rows, ["date", "uuid"], ["pointId"])
+    return geojson.collections(once, ["date"], "uuid")
+
+
+DAILY = "SELECT date_trunc('day', ts)::TIMESTAMP AS date, user_id::VARCHAR AS uuid, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY date_trunc('day', ts), user_id ORDER BY event_id) = 1"
+
+
+@query(f"SELECT date, uuid, event_id AS \"pointId\", value AS x, event_id::DOUBLE AS y FROM ({DAILY})")
+def geojson_round_trip(events):
+    back = geojson.features(snapshots(events), "uuid string, pointId long")
+    return back.select("date", "uuid", "pointId", "geometry.x", "geometry.y")
+
+
+@query(f"""
+SELECT uuid, count(*)::BIGINT AS n, string_agg(strftime(date, '%Y-%m-%dT%H:%M:%S.%fZ'), ',' ORDER BY date) AS datetimes FROM ({DAILY})
+WHERE date > TIMESTAMP '2024-01-04' AND date < TIMESTAMP '2024-01-21' GROUP BY uuid HAVING count(*) > 1""")
+def moving_features(events):
+    start, end = (int((d - datetime(1970, 1, 1)).total_seconds()) for d in (datetime(2024, 1, 4), datetime(2024, 1, 21)))
+    schema = "array<struct<properties:struct<uuid:string,pointId:bigint>,geometry:struct<coordinates:array<double>>>>"
+    found = trajectories.trajectories(snapshots(events), schema, "uuid", start, end, drop=["pointId"])
+    times = F.from_json(F.get_json_object("feature", "$.temporalGeometry.datetimes"), "array<string>")
+    return found.select("uuid", F.size(times).cast("long").alias("n"), F.array_join(times, ",").alias("datetimes"))
+
+
+def feed(orders, lineitem, supplier) -> dict[str, DataFrame]:
+    """Orders as trips, their lines as stops in sequence, suppliers as places, priorities as services."""
+    lines = ordering.first_of_group(lineitem, LINE, TIES)
+    seconds = (F.col("l_orderkey") * 97 % 80000 + F.col("l_linenumber") * 600).cast("int")
+    services = [("1-URGENT", "1111100"), ("2-HIGH", "0000011"), ("3-MEDIUM", "1111111"), ("4-NOT SPECIFIED", "1010101"), ("5-LOW", "0100000")]
+    days = ", ".join(f"{d} string" for d in gtfs.DAYS)
+    session = orders.sparkSession
+    return {
+        "trips": orders.select(F.col("o_orderkey").cast("string").alias("trip_id"), F.col("o_orderpriority").alias("service_id"), F.col("o_orderstatus").alias("trip_headsign")),
+        "stop_times": lines.select(F.col("l_orderkey").cast("string").alias("trip_id"), F.col("l_suppkey").cast("string").alias("stop_id"), F.col("l_linenumber").alias("stop_sequence"), seconds.alias("arrival_time"), (seconds + 30).alias("departure_time")),
+        "stops": supplier.select(F.col("s_suppkey").cast("string").alias("stop_id"), F.col("s_name").alias("stop_name"), F.col("s_acctbal").alias("stop_lat"), F.col("s_nationkey").cast("double").alias("stop_lon")),
+        "calendar": session.createDataFrame([(s, *d, "20240101", "20241231") for s, d in services], f"service_id string, {days}, start_date string, end_date string"),
+        "calendar_dates": session.createDataFrame([("2-HIGH", "20240103", "1"), ("3-MEDIUM", "20240103", "2")], "service_id string, date string, exception_type string"),
+    }
+
+
+# 3 January 2024, a Wednesday: the first and fourth service by weekday, the second added, the third removed.
+TIMES = LINES + """,
+times AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey, o_orderstatus, (l_orderkey * 97 % 80000 + l_linenumber * 600)::INTEGER AS at
+  FROM (SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice, l_partkey, l_suppkey) = 1)
+  JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED', '2-HIGH'))
+"""
+
+
+@query("SELECT o_orderkey::VARCHAR AS trip_id FROM orders WHERE o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED', '2-HIGH')")
+def service_date(orders, lineitem, supplier):
+    return gtfs.on_date(feed(orders, lineitem, supplier), datetime(2024, 1, 3).date())["trips"].select("trip_id")
+
+
+@query(TIMES + """
+SELECT l_suppkey::VARCHAR AS stop_id, s_name AS stop_name, count(*)::BIGINT AS n,
+       string_agg(l_orderkey || '@' || printf('%02d:%02d:%02d', "at" // 3600 % 24, "at" % 3600 // 60, "at" % 60) || o_orderstatus, ';' ORDER BY "at", l_orderkey::VARCHAR) AS schedule
+FROM times JOIN supplier ON s_suppkey = l_suppkey WHERE "at" + 30 >= 8 * 3600 AND "at" <= 12 * 3600 GROUP BY ALL""")
+def schedule(orders, lineitem, supplier):
+    start = int((datetime(2024, 1, 3, 8) - datetime(1970, 1, 1)).total_seconds())
+    found = gtfs.schedule(feed(orders, lineitem, supplier), start, start + 4 * 3600, "UTC")
+    entry = lambda e: F.concat(e["trip_id"], F.lit("@"), e["arrival_time"], e["trip_headsign"])
+    return found.select("stop_id", "stop_name", F.size("schedule").cast("long").alias("n"), F.array_join(F.transform("schedule", entry), ";").alias("schedule"))
+
+
+@query(TIMES + """
+SELECT a.l_orderkey::VARCHAR AS trip_id, a.l_linenumber AS stop_sequence, round_even((36000 - a.at) / (b.at - a.at) * 1e6, 0) / 1e6 AS percentage
+FROM times a JOIN times b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.at < 36000 AND b.at > 36000""")
+def trains_underway(orders, lineitem, supplier):
+    times = gtfs.on_date(feed(orders, lineitem, supplier), datetime(2024, 1, 3).date())["stop_times"]
+    return rail.underway(times, 36000).select("trip_id", "stop_sequence", rounded(F.col("percentage"), 6).alias("percentage"))
+
+
+@query("""
+SELECT date_trunc('day', ts)::TIMESTAMP AS date, event_type AS "lineId", event_id::VARCHAR AS "pointId", user_id::INTEGER AS "distanceFromPoint" FROM events
+WHERE date_trunc('day', ts) NOT IN (SELECT date_trunc('day', ts) FROM events WHERE event_id % 997 = 0)""")
+def validated_batch(events):
+    # A day is a document; one of its items breaks the schema if its id is a multiple of 997.
+    item = F.struct(
+        F.col("event_type").alias("lineId"), F.when(F.col("event_id") % 997 != 0, F.col("event_id").cast("string")).alias("pointId"),
+        F.when(F.col("event_id") % 997 == 0, F.lit("far")).alias("distanceFromText"), F.col("user_id").cast("int").alias("near"),
+    )
+    text_of = F.when(F.col("event_id") % 997 == 0, F.lit('{"distanceFromPoint":"far"}')).otherwise(F.regexp_replace(F.to_json(item), '"near"', '"distanceFromPoint"'))
+    documents = events.select(day().alias("date"), text_of.alias("item")).groupBy("date").agg(F.concat(F.lit("["), F.array_join(F.collect_list("item"), ","), F.lit("]")).alias("data"))
+    items, _ = compaction.batch(documents, "struct<lineId:string,pointId:string,distanceFromPoint:int>", {"pointId": "string", "distanceFromPoint": "integer"}, "lineId")
+    return items.select("date", "lineId", "pointId", "distanceFromPoint")
+
+
+@query(SEGMENTS + "SELECT vec_id, round_even(0.5 * sum(size) * 1e6, 0) / 1e6 AS length FROM measured GROUP BY vec_id")
+def line_part(embeddings):
+    measured = polylines(embeddings).withColumn("whole", geo.length(F.col("line")))
+    cut = measured.select("vec_id", geo.part(F.col("line"), 0.25 * F.col("whole"), 0.75 * F.col("whole")).alias("part"))
+    return cut.select("vec_id", rounded(geo.length(F.col("part")), 6).alias("length"))
+
+
+@query("""
+SELECT c_custkey::VARCHAR AS icao24, c_name AS callsign, CASE c_custkey % 5 WHEN 0 THEN 'ADS-B' WHEN 1 THEN 'ASTERIX' WHEN 2 THEN 'MLAT' WHEN 3 THEN 'FLARM' END AS position_source, c_acctbal AS x
+FROM customer WHERE c_custkey % 3 <> 0 AND c_acctbal BETWEEN 0 AND 5000""")
+def aircraft_states(customer):
+    cell = lambda c: c.cast("string")
+    empty = F.lit(None).cast("string")
+    vector = F.array(
+        cell(F.col("c_custkey")), F.concat(F.lit(" "), "c_name", F.lit(" ")), *[empty] * 3, F.when(F.col("c_custkey") % 3 != 0, cell(F.col("c_acctbal"))), F.lit("50.5"), *[empty] * 9, cell(F.col("c_custkey") % 5)
+    )
+    payloads = customer.groupBy((F.col("c_custkey") % 16).alias("part")).agg(F.to_json(F.struct(F.collect_list(vector).alias("states"))).alias("data"))
+    return feeds.aircraft(payloads, (0, 50, 5000, 51)).select("icao24", "callsign", "position_source", "geometry.x")
+
+
+def catalog_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends the events to a new catalog, payloads stored once, and reads them back."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    catalog = Catalog(spark, compaction.shared_folder(spark, "catalog"))
+    catalog.append("events", events.select(F.col("ts").alias("date"), F.col("props").alias("data")))
+    return catalog.read("events").select("id", "date", "data")
+
+
+QUERIES["catalog_write_read"] = catalog_write_read
+SQL["catalog_write_read"] = "SELECT row_number() OVER (ORDER BY ts)::BIGINT AS id, ts AS date, props AS data FROM events"
+
+
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event counts by week and type from a stream that is run until its input is used up."""
+    folder = compaction.shared_folder(spark, "stream")
+    source = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type")
+    source.write.parquet(f"{folder}/in")
+    count = lambda rows: rows.groupBy(time.bucket(F.col("ts"), timedelta(weeks=1)).alias("week"), "event_type").agg(F.count("*").alias("n"))
+    runner.stream(spark.readStream.schema(source.schema).parquet(f"{folder}/in"), count, f"{folder}/out", f"{folder}/check").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("week", "event_type").agg(F.sum("n").alias("n"))
+
+
+QUERIES["stream_totals"] = stream_totals
+SQL["stream_totals"] = "SELECT date_trunc('week', ts)::TIMESTAMP AS week, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL"
+
+
+@query()
+def identify_vehicles(events):
+    """Events as observations of vehicles: a line an event type, a direction a parity of the user, metres from the value."""
+    rows = events.where(F.col("ts") < F.lit(datetime(2024, 1, 2))).select(
+        F.col("event_id").alias("row_id"), F.col("event_type").alias("lineId"), (F.col("user_id") % 2 + 1).cast("int").alias("direction"),
+        F.timestamp_diff("SECOND", F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"), F.col("ts")).cast("double").alias("timestamp"), (F.col("value") * 100).alias("distance"), F.lit(None).cast("string").alias("uuid"),
+    )
+    return identify.identify(rows)
