@@ -37,11 +37,16 @@ def floor(moment: datetime, delta: timedelta) -> datetime:
     return moment - (moment - ORIGIN) % delta
 
 
+def moment(value) -> Column:
+    """A time without time zone as a literal of that type, so that filters on such columns reach the scan; other values as they are."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz") if isinstance(value, datetime) else F.lit(value)
+
+
 def bucket(time: Column, delta: timedelta) -> Column:
     """The same for a column of timestamps without time zone."""
     step = int(delta.total_seconds() * 1_000_000)
     # Microseconds from a Monday at midnight, 4 January 2021; earlier times count backwards.
-    base = F.lit(datetime(2021, 1, 4)).cast("timestamp_ntz")
+    base = moment(datetime(2021, 1, 4))
     passed = F.timestamp_diff("MICROSECOND", base, time)
     shift = int((datetime(2021, 1, 4) - ORIGIN).total_seconds()) * 1_000_000 % step
     return time - F.make_dt_interval(secs=(F.pmod(passed + F.lit(shift), F.lit(step)) / 1_000_000).cast("decimal(18,6)"))

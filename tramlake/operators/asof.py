@@ -34,17 +34,24 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str,
     return out.select("__row.*", *(F.col(f"__found.v{k}").alias(v) for k, v in enumerate(values)))
 
 
-def asof_last_n(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, values: Sequence[str], n: int) -> DataFrame:
+def asof_last_n(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, values: Sequence[str], n: int, bucket: str = "day") -> DataFrame:
     """Left rows, each with up to n rows of the right table strictly before it, `age` 1 being the last; left rows without any
-    are left out. Right rows are numbered by time and values within their key and found again by that number."""
-    numbered = right.select(*keys, F.row_number().over(W.partitionBy(*keys).orderBy(right_time, *values)).alias("__n"), *values)
-    marks = left.select(*keys, F.col(left_time).alias("__t"), F.lit(0).alias("__side"), F.struct(*left.columns).alias("__row"))
-    both = marks.unionByName(right.select(*keys, F.col(right_time).alias("__t"), F.lit(1).alias("__side")), allowMissingColumns=True)
-    upto = F.sum("__side").over(W.partitionBy(*keys).orderBy("__t", "__side").rowsBetween(W.unboundedPreceding, 0))
-    seen = both.withColumn("__upto", upto).where("__side = 0 AND __upto > 0")
-    ages = F.explode(F.sequence(F.lit(1), F.least(F.lit(n).cast("long"), F.col("__upto")).cast("int"))).alias("age")
-    wanted = seen.select(*keys, "__row", "__upto", ages).withColumn("__n", (F.col("__upto") - F.col("age") + 1).cast("int"))
-    return wanted.join(numbered, [*keys, "__n"]).select("__row.*", F.col("age").cast("long").alias("age"), *values)
+    are left out. Right rows are numbered by time and values within their key, inside buckets and on top of the buckets
+    before, and found again by that number."""
+    cut = lambda time: F.date_trunc(bucket, F.col(time)).alias("__bucket")
+    own = right.select(*keys, cut(right_time), F.col(right_time).alias("__t"), *values)
+    marks = left.select(*keys, cut(left_time), F.col(left_time).alias("__t"), F.lit(0).alias("__side"), F.struct(*left.columns).alias("__row"))
+    sizes = own.select(*keys, "__bucket", F.lit(1).alias("__one")).union(marks.select(*keys, "__bucket", F.lit(0))).groupBy(*keys, "__bucket").agg(F.sum("__one").alias("__size"))
+    offset = F.sum("__size").over(W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, 0)) - F.col("__size")
+    offsets = sizes.select(*keys, "__bucket", offset.alias("__offset"))
+    rank = F.row_number().over(W.partitionBy(*keys, "__bucket").orderBy("__t", *values))
+    numbered = own.withColumn("__rank", rank).join(offsets, [*keys, "__bucket"]).select(*keys, (F.col("__rank") + F.col("__offset")).alias("__n"), *values)
+    both = marks.unionByName(own.select(*keys, "__bucket", "__t", F.lit(1).alias("__side")), allowMissingColumns=True)
+    inside = F.sum("__side").over(W.partitionBy(*keys, "__bucket").orderBy("__t", "__side").rowsBetween(W.unboundedPreceding, 0))
+    seen = both.withColumn("__inside", inside).where("__side = 0").join(offsets, [*keys, "__bucket"]).withColumn("__upto", F.col("__inside") + F.col("__offset")).where("__upto > 0")
+    ages = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(n).cast("long"), F.col("__upto")))).alias("age")
+    wanted = seen.select(*keys, "__row", "__upto", ages).withColumn("__n", F.col("__upto") - F.col("age") + 1)
+    return wanted.join(numbered, [*keys, "__n"]).select("__row.*", "age", *values)
 
 
 def asof_or_latest(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, value: str, bucket: str = "day") -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tramlake.functions.time import moment
+
 
 def newest(df: DataFrame, time: str, n: int | None = 1) -> DataFrame:
     """The n rows of the greatest times, newest first."""
@@ -21,26 +23,26 @@ def oldest(df: DataFrame, time: str, n: int | None = 1) -> DataFrame:
 
 def after(df: DataFrame, time: str, start, n: int | None = None) -> DataFrame:
     """The n newest of the rows strictly after `start`: the newest, not the next."""
-    return newest(df.where(F.col(time) > F.lit(start)), time, n)
+    return newest(df.where(F.col(time) > moment(start)), time, n)
 
 
 def before(df: DataFrame, time: str, end, n: int | None = None) -> DataFrame:
     """The n newest of the rows strictly before `end`."""
-    return newest(df.where(F.col(time) < F.lit(end)), time, n)
+    return newest(df.where(F.col(time) < moment(end)), time, n)
 
 
 def between(df: DataFrame, time: str, start=None, end=None, n: int | None = None) -> DataFrame:
     """The n oldest rows of the open interval; a bound of None is no bound."""
     if start is not None:
-        df = df.where(F.col(time) > F.lit(start))
+        df = df.where(F.col(time) > moment(start))
     if end is not None:
-        df = df.where(F.col(time) < F.lit(end))
+        df = df.where(F.col(time) < moment(end))
     return oldest(df, time, n)
 
 
 def within(df: DataFrame, time: str, start, end) -> DataFrame:
     """The rows of the closed interval."""
-    return df.where(F.col(time).between(F.lit(start), F.lit(end)))
+    return df.where(F.col(time).between(moment(start), moment(end)))
 
 
 def numbered(df: DataFrame, order: Sequence[str], bucket: Column, name: str = "n") -> DataFrame:
@@ -82,10 +84,24 @@ def first_of_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
 
 def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key no other row has: every row of a repeated key goes."""
-    return df.withColumn("__rows", F.count("*").over(W.partitionBy(*keys))).where("__rows = 1").drop("__rows")
+    """The rows whose key no other row has: every row of a repeated key goes.
+
+    Rows are counted before the shuffle, with one of them kept, so a key with very many rows is a row a task.
+    """
+    others = [c for c in df.columns if c not in keys]
+    kept = df.groupBy(*keys).agg(F.count("*").alias("__rows"), F.first(F.struct(F.lit(0).alias("__"), *others)).alias("__row")).where("__rows = 1")
+    return kept.select(*(c if c in keys else F.col(f"__row.{c}") for c in df.columns))
 
 
 def several(df: DataFrame, keys: Sequence[str], least: int = 2) -> DataFrame:
-    """The rows whose key has at least so many rows."""
-    return df.withColumn("__rows", F.count("*").over(W.partitionBy(*keys))).where(F.col("__rows") >= least).drop("__rows")
+    """The rows whose key has at least so many rows; null keys are one key. A key with very many rows is split by the skew join."""
+    counted = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.count("*").alias("__rows")).where(F.col("__rows") >= least)
+    return df.join(counted, same(keys), "left_semi")
+
+
+def same(keys: Sequence[str], prefix: str = "__") -> Column:
+    """Null-safe equality of columns and their namesakes with a prefix."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return out

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tramlake.functions.numbers import rounded
+from tramlake.operators.ordering import same
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -35,8 +36,9 @@ def deltas(df: DataFrame, key: str, time: str, value: str) -> DataFrame:
 
 def normalised(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """0 to 1 between a key's least and greatest value; 0 where they are the same."""
-    least, most = F.min(value).over(W.partitionBy(*keys)), F.max(value).over(W.partitionBy(*keys))
-    return df.withColumn(name, F.when(most == least, F.lit(0.0)).otherwise((F.col(value) - least) / (most - least)))
+    ends = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min(value).alias("__least"), F.max(value).alias("__most"))
+    share = F.when(F.col("__most") == F.col("__least"), F.lit(0.0)).otherwise((F.col(value) - F.col("__least")) / (F.col("__most") - F.col("__least")))
+    return df.join(ends, same(keys)).withColumn(name, share).select(*df.columns, name)
 
 
 def z_outliers(df: DataFrame, keys: Sequence[str], value: str, limit: float) -> DataFrame:

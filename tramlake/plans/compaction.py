@@ -141,7 +141,7 @@ class Archive:
         base, keys = self.levels[0]
         periods = complete_periods(first, end, base, self._done(base))
         if periods:
-            new = snapshots.where((F.col("date") >= F.lit(periods[0][0])) & (F.col("date") < F.lit(periods[-1][1])))
+            new = snapshots.where((F.col("date") >= time.moment(periods[0][0])) & (F.col("date") < time.moment(periods[-1][1])))
             added += self._write(*batch(new, item, types, key), base, keys)
         for (lower, lower_keys), (level, keys) in zip(self.levels, self.levels[1:], strict=False):
             done = self._done(level)
@@ -152,7 +152,7 @@ class Archive:
             periods = complete_periods(start, ended, level, done)
             if not periods:
                 continue
-            inside = (F.col("start_date") >= F.lit(periods[0][0])) & (F.col("start_date") < F.lit(periods[-1][1])) & (F.col("level") == lower)
+            inside = (F.col("start_date") >= time.moment(periods[0][0])) & (F.col("start_date") < time.moment(periods[-1][1])) & (F.col("level") == lower)
             parts = self.manifest().where(inside)
             paths = [r.data for r in parts.select("data").distinct().collect()]  # one path a file set
             rows = self.spark.read.option("basePath", self.folder).option("mergeSchema", "true").parquet(*paths).drop("set", "level", "start", *(f"{k}_key" for k in lower_keys))

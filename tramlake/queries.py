@@ -279,9 +279,9 @@ def successor_join(lineitem):
 SELECT l_orderkey, l_linenumber, l_extendedprice, round_even(date_diff('day', o_orderdate, TIMESTAMP '1998-01-01') / date_diff('day', o_orderdate, l_shipdate) * 1e6, 0) / 1e6 AS completion
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate < TIMESTAMP '1998-01-01' AND l_shipdate > TIMESTAMP '1998-01-01'""")
 def in_progress_at(lineitem, orders):
-    at = F.lit(datetime(1998, 1, 1))
+    at = time.moment(datetime(1998, 1, 1))
     running = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).where((F.col("o_orderdate") < at) & (F.col("l_shipdate") > at))
-    done = F.timestamp_diff("DAY", F.col("o_orderdate"), at.cast("timestamp_ntz")) / F.timestamp_diff("DAY", F.col("o_orderdate"), F.col("l_shipdate"))
+    done = F.timestamp_diff("DAY", F.col("o_orderdate"), at) / F.timestamp_diff("DAY", F.col("o_orderdate"), F.col("l_shipdate"))
     return running.select("l_orderkey", "l_linenumber", "l_extendedprice", rounded(done, 6).alias("completion"))
 
 
@@ -418,7 +418,7 @@ del QUERIES["keyed_parts"], SQL["keyed_parts"]
 @query(f"SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{MIDDLE}')")
 def watermark_incremental(events):
     rows = events.select("event_id", "ts")
-    return incremental.unseen(rows, rows.where(F.col("ts") < F.lit(MIDDLE)), "ts")
+    return incremental.unseen(rows, rows.where(F.col("ts") < time.moment(MIDDLE)), "ts")
 
 
 @query("""
@@ -757,8 +757,8 @@ SQL["stream_totals"] = "SELECT date_trunc('week', ts)::TIMESTAMP AS week, event_
 @query()
 def identify_vehicles(events):
     """Events as observations of vehicles: a line an event type, a direction a parity of the user, metres from the value."""
-    rows = events.where(F.col("ts") < F.lit(datetime(2024, 1, 2))).select(
+    rows = events.where(F.col("ts") < time.moment(datetime(2024, 1, 2))).select(
         F.col("event_id").alias("row_id"), F.col("event_type").alias("lineId"), (F.col("user_id") % 2 + 1).cast("int").alias("direction"),
-        F.timestamp_diff("SECOND", F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"), F.col("ts")).cast("double").alias("timestamp"), (F.col("value") * 100).alias("distance"), F.lit(None).cast("string").alias("uuid"),
+        F.timestamp_diff("SECOND", time.moment(datetime(2024, 1, 1)), F.col("ts")).cast("double").alias("timestamp"), (F.col("value") * 100).alias("distance"), F.lit(None).cast("string").alias("uuid"),
     )
     return identify.identify(rows)

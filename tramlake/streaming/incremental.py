@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from tramlake.functions.time import floor, moment, period
+
 EPOCH = datetime(1970, 1, 1)
 STEP = timedelta(seconds=1)
 
@@ -14,7 +16,7 @@ STEP = timedelta(seconds=1)
 def unseen(source: DataFrame, output: DataFrame, time: str) -> DataFrame:
     """Source rows strictly after the newest output row, tombstones included; all rows where there is no output."""
     newest = output.select(F.max(time))
-    return source.where(F.col(time) > F.coalesce(newest.scalar(), F.lit(EPOCH).cast("timestamp_ntz")))
+    return source.where(F.col(time) > F.coalesce(newest.scalar(), moment(EPOCH)))
 
 
 def starting_watermark(source: DataFrame, output: DataFrame | None, required: Sequence[DataFrame], optional: Sequence[DataFrame], time: str) -> DataFrame:
@@ -22,7 +24,7 @@ def starting_watermark(source: DataFrame, output: DataFrame | None, required: Se
     earlier than a second before the first row of any dependency. No row while a required dependency is empty."""
     before = F.expr("INTERVAL '1' SECOND")
     first = lambda df: df.select(F.min(time) - before).scalar()
-    epoch = F.lit(EPOCH).cast("timestamp_ntz")
+    epoch = moment(EPOCH)
     done = [output.select(F.max(time)).scalar()] if output is not None else []
     own = F.coalesce(*done, first(source), epoch)
     bounds = [first(d) for d in required]
@@ -36,8 +38,6 @@ def plan_range(latest: datetime, size: int | str) -> tuple[datetime, datetime |
     """(start, end, limit) of the next source slice: a number of rows after the newest output, or a period of time."""
     if isinstance(size, int) or size.isdigit():
         return latest, None, int(size)
-    from tramlake.functions.time import floor, period
-
     delta = period(size)
     start = floor(latest, delta)
     return start, start + delta, None
@@ -50,9 +50,9 @@ def next_slice(source: DataFrame, watermark: datetime, size: int | str, strict:
     """The next source rows to transform: `size` rows (fewer if lenient) or a whole period; None while they are not there yet."""
     start, end, limit = plan_range(watermark, size)
     if limit is not None:
-        rows = source.where(F.col(time) > F.lit(start)).orderBy(time).limit(limit)
+        rows = source.where(F.col(time) > moment(start)).orderBy(time).limit(limit)
         there = rows.count()
         return rows if there and (there == limit or not strict) else None
     if end > (now or source.agg(F.max(time)).first()[0] or start):
         return None
-    return source.where((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
+    return source.where((F.col(time) >= moment(start)) & (F.col(time) < moment(end)))

@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.functions.time import schedule
+from tramlake.functions.time import moment, schedule
 from tramlake.plans.components import Component
 from tramlake.sources.catalog import Catalog
 from tramlake.streaming import incremental
@@ -69,11 +69,11 @@ def derive(catalog: Catalog, component: Component) -> bool:
         _, last, _ = incremental.plan_range(start, component.source_range)
     result = component.load()(rows, **dependencies(catalog, component, last))
     if result is not None and not (component.multiple and "date" in result.columns):
-        result = result.select(F.lit(last).cast("timestamp_ntz").alias("date"), "data")
+        result = result.select(moment(last).alias("date"), "data")
     done = catalog.spark.createDataFrame([(last, None)], "date timestamp_ntz, data string")
     if result is None or result.isEmpty():
         result = done
-    elif component.multiple and result.where(F.col("date") == F.lit(last)).isEmpty():
+    elif component.multiple and result.where(F.col("date") == moment(last)).isEmpty():
         result = result.select("date", "data").union(done)
     catalog.append(component.name, result.select("date", "data"), component.data_type)
     return True
