@@ -30,6 +30,8 @@ SHINGLE, RADIUS, BLOCKS = 4, 4, 6
 TREE = 8192
 #: (query, node) pairs that a lookup holds at once.
 PAIRS = 1 << 19
+#: Linked pairs in a partition.
+EDGES = 200_000
 TABLE = spacing(b"\t\n\x0b\x0c\r ")
 
 
@@ -253,7 +255,7 @@ def links(distinct: DataFrame, tree: int = TREE) -> DataFrame:
 def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """(a, b) pairs of longs to (node, root): root is the least node of the component; only nodes with a pair are listed."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    seen = None
+    seen, parts = None, edges.count() // EDGES + 1  # a step never makes more pairs
     for _ in range(most):
         # Large-star: a node's larger neighbours move to its least neighbour (or itself).
         both = edges.union(edges.select("b", "a"))
@@ -262,7 +264,8 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         # Small-star: a node and its smaller neighbours move to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("root"))
         small = large.join(least, "a").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        edges = cut(small.union(least.select("a", F.col("root").alias("b"))).distinct())
+        # As many partitions as the pairs need, not as many as the corpus does: each would be a task and a file.
+        edges = cut(small.union(least.select("a", F.col("root").alias("b"))).distinct().coalesce(parts))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -289,10 +292,13 @@ def first_of_each(docs: DataFrame, tree: int = TREE) -> DataFrame:
     """The row with the smallest doc_id of each component, with all its columns. Of rows that share a doc_id one stays; rows
     without a doc_id, which nothing could name, all stay."""
     prints = cut(fingerprints(docs))
-    kept = cut(components_of(prints, tree).select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct())
-    repeated = cut(prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("__again_id")).count().where("count > 1").select("__again_id"))
+    kept = components_of(prints, tree).select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct()
+    repeated = prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("__again_id")).count().where("count > 1").select("__again_id")
+    again = repeated.count()
+    if again:
+        kept, repeated = cut(kept), cut(repeated)
     first = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    if not repeated.isEmpty():
+    if again:
         same = F.col("doc_id") == F.col("__again_id")
         first = first.join(repeated, same, "left_anti").unionByName(first.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
     return first.unionByName(docs.where("doc_id is null"))
