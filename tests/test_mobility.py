@@ -189,6 +189,14 @@ def test_trajectories(spark):
     assert json.loads(trajectories.collection(got.limit(0)).first().value)["features"] == []
 
 
+def test_trips_of_vehicles_and_trains(spark):
+    start = int((datetime(2024, 1, 1) - datetime(1970, 1, 1)).total_seconds()) - 1
+    rows = spark.createDataFrame([snapshot(0, "a"), snapshot(1, "a")], "date timestamp_ntz, data string")
+    assert set(json.loads(trajectories.vehicle_trips(rows, start).first().feature)["properties"]) <= {"uuid", "lineId", "direction", "color"}
+    trains = rows.withColumn("data", F.regexp_replace("data", '"uuid"', '"trip_id"'))
+    assert trajectories.train_trips(trains, start).first().trip_id == "a"
+
+
 def test_spans():
     hour = timedelta(hours=1)
     assert trajectories.span(0, None) == (datetime(1970, 1, 1), datetime(1970, 1, 1) + hour) and trajectories.span(None, 7200) == (datetime(1970, 1, 1) + hour, datetime(1970, 1, 1) + 2 * hour)
@@ -215,6 +223,8 @@ def test_feed_from_zip(spark, feed, tmp_path):
     files = spark.createDataFrame([(bytearray(data.getvalue()),), (bytearray(b"no zip"),)], "content binary")
     got = archives.gtfs_from_zip(files)
     assert [tuple(r) for r in got["stops"].orderBy("stop_id").collect()] == [("a", "Al, pha", 50.0, 4.0), ("b", "Beta", None, 4.1)]
+    kept = spark.createDataFrame([(datetime(2024, 1, 2), bytearray(data.getvalue()))], "date timestamp_ntz, data binary").select("date", F.base64("data").alias("data"))
+    assert gtfs.schedule_at(kept, epoch(2024, 1, 1, 8), epoch(2024, 1, 1, 9)) is None
     archives.gtfs_to_parquet(got, str(tmp_path / "feed"))
     assert archives.gtfs_from_parquet(spark, str(tmp_path / "feed"), ["stop_times"])["stop_times"].first().stop_sequence == 1
     assert archives.zip_maps(files.limit(1)).first().members["other.bin"] is None

@@ -37,6 +37,8 @@ def test_catalog_appends_and_reads(spark, catalog):
     assert data(catalog.before("c", T0 + 4 * H, 2)) == ["x", "y"] and data(catalog.after("c", T0 + 2 * H)) == ["z", "y"] and len(data(catalog.within("c", T0, T0 + 2 * H))) == 3
     assert catalog.read("c", with_null=True).count() == 6 and catalog.last_date("c") == T0 + 30 * H
     catalog.append("d", rows(spark, (T0, "x"), (T0 + H, "x")), "text", share=False)
+    catalog.append("e", spark.createDataFrame([(T0, bytearray(b"\x00\xff")), (T0 + H, bytearray(b"\x00\xff"))], "date timestamp_ntz, data binary"), "gtfs")
+    assert [bytes(r.payload) for r in decoded(catalog.read("e"), "gtfs").collect()] == [b"\x00\xff"] * 2
     assert [r.payload for r in decoded(catalog.raw("d"), "text").collect()] == ["x", "x"] and decoded(catalog.raw("d"), "json").count() == 0
     assert catalog.raw("d").select(blob_path("d", F.col("date")).alias("p")).orderBy("p").first().p == "d/2024-01-01_00-00-00"
 
@@ -180,6 +182,8 @@ def test_archive_by_levels(spark, tmp_path):
     assert levels["1h"]["rows"] == levels["1d"]["rows"] == 2 * 384 - 128
     week = {r["keys"]["lineId"]: r for r in manifest.where("level = '1w'").collect()}
     assert set(week) == {"1", "2"} and week["1"].row_count == 336 and week["1"].doc_count == 336 and week["1"].skipped == 1
+    assert {(r.level, r["count"]) for r in archive.current().groupBy("level").count().collect()} == {("1d", 8), ("1w", 2)}
+    assert archive.vacuum() == 192 and archive.vacuum() == 0 and archive.run(source, ITEM, TYPES, "lineId", T0 + timedelta(days=8)) == []
     back = spark.read.parquet(week["1"].data)
     assert back.count() == week["1"].row_count + week["2"].row_count and back.agg(F.max("date")).first()[0] < T0 + timedelta(weeks=1)
 

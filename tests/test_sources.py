@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramlake.sources import archives, feeds, geojson, http
+from tramlake.sources.blobs import Blobs
 
 
 def paged(total=25, with_total=True):
@@ -65,6 +66,40 @@ def test_tokens_and_failover():
     assert http.client_token(lambda url, params, headers: (200, json.dumps({"access_token": params["client_id"] + "!"}).encode()), "u", "me", "s") == "me!"
 
 
+def test_binary_bodies_and_client_credentials(spark):
+    def transport(url, params, headers):
+        if url == "token":
+            return 200, json.dumps({"access_token": f"{params['client_id']}-{params['client_secret']}"}).encode()
+        return (200, b"\x00zip") if headers.get("Authorization") == "Bearer id-s" else (401, b"")
+
+    http.register(spark, transport, "binary", {"ME": "id", "SECRET": "s"})
+    read = spark.read.format("binary").option("url", "u").option("body", "binary")
+    assert bytes(read.option("token_url", "token").option("client_key", "ME").option("secret_key", "SECRET").load().first().content) == b"\x00zip"
+
+
+def test_bounds_reach_the_request(spark, tmp_path):
+    def transport(url, params, headers):
+        (tmp_path / "asked").write_text(json.dumps(params))
+        return 200, json.dumps({"states": [["a", None, None, None, None, 4.0, 50.0], ["b", None, None, None, None, 4.0, 60.0]]}).encode()
+
+    http.register_states(spark, transport, "states")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    df = spark.read.format("states").option("url", "u").option("lamin", "48").load().where("latitude >= 49.5 AND latitude <= 51.5 AND longitude >= 2.5")
+    assert [json.loads(r.state)[0] for r in df.collect()] == ["a"]
+    assert json.loads((tmp_path / "asked").read_text()) == {"lamin": "49.5", "lamax": "51.5", "lomin": "2.5"}
+
+
+def test_blobs(spark, tmp_path):
+    from datetime import datetime
+
+    blobs = Blobs(spark, str(tmp_path))
+    path = blobs.put("c", datetime(2024, 1, 2, 3, 4, 5), "tëxt")
+    assert path.endswith("c/2024-01-02_03-04-05") and blobs.get(path) == "tëxt".encode()
+    blobs.put("c", datetime(2024, 1, 2, 3, 4, 5), b"\x00\xff")
+    assert blobs.get(path) == b"\x00\xff" and blobs.get(blobs.put("c", datetime(2024, 1, 3), None)) == b"" and blobs.read(f"{tmp_path}/c").count() == 1
+    assert blobs.delete(path) and not blobs.delete(path)
+
+
 def one(spark, value):
     return spark.createDataFrame([(json.dumps(value),)], "data string")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tramlake.functions import time
 from tramlake.functions.numbers import rounded
+from tramlake.sources.blobs import Blobs
 
 MANIFEST = (
     "level string, start_date timestamp_ntz, end_date timestamp_ntz, doc_count bigint, row_count bigint, skipped bigint, original_size bigint, "
@@ -111,7 +112,7 @@ class Archive:
     """A folder of set=/level=/start= Parquet file sets with a manifest; each run adds the periods that are complete by then.
 
     Periods include their start and leave out their end. A period is written to a new folder and becomes visible with its manifest
-    row; file sets that a higher level replaced are deleted only after that, so a broken run can be run again.
+    row, so a broken run can be run again. File sets that a level without keys replaced stay until vacuum() deletes them.
     """
 
     def __init__(self, spark: SparkSession, folder: str, levels: Sequence[tuple[str, Sequence[str]]]):
@@ -126,6 +127,28 @@ class Archive:
                 raise
             return self.spark.createDataFrame([], MANIFEST)
 
+    def _replaced(self, rows: DataFrame) -> DataFrame:
+        """Those of the manifest rows whose period lies in one of a coarser level without keys."""
+        out = rows.limit(0)
+        for k, (level, keys) in enumerate(self.levels[1:], 1):
+            if not keys:
+                finer = [name for name, _ in self.levels[:k]]
+                bucket = time.bucket(F.col("start_date"), time.period(level))
+                done = rows.where(F.col("level") == level).select(F.col("start_date").alias("__start")).distinct()
+                out = out.unionByName(rows.where(F.col("level").isin(finer)).join(done, bucket == F.col("__start"), "left_semi"))
+        return out
+
+    def current(self) -> DataFrame:
+        """Manifest rows that no coarser level without keys replaced."""
+        rows = self.manifest()
+        return rows.join(self._replaced(rows).select("level", "start_date").distinct(), ["level", "start_date"], "left_anti")
+
+    def vacuum(self) -> int:
+        """Deletes the file sets that were replaced; the manifest keeps their rows, by which later runs know what is done."""
+        paths = [r.data for r in self._replaced(self.manifest()).select("data").distinct().collect()]  # one path a file set
+        blobs = Blobs(self.spark, self.folder)
+        return sum(blobs.delete(p) for p in paths)
+
     def _done(self, level: str) -> datetime | None:
         return self.manifest().where(F.col("level") == level).agg(F.max("end_date")).first()[0]
 

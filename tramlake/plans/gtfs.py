@@ -8,6 +8,8 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, functions as F
 
 from tramlake.functions import geo, time
+from tramlake.operators import ordering
+from tramlake.sources import archives
 
 DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 ZONE = "Europe/Brussels"
@@ -69,3 +71,11 @@ def schedule(feed: dict[str, DataFrame], start: int, end: int, zone: str = ZONE)
         nested = rows.groupBy("stop_id", "stop_name", "stop_lat", "stop_lon").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["e"]).alias("schedule"))
         out = nested if out is None else out.unionByName(nested)
     return out.withColumn("geometry", geo.point(F.col("stop_lon"), F.col("stop_lat")))
+
+
+def schedule_at(snapshots: DataFrame, start: int, end: int, zone: str = ZONE) -> DataFrame | None:
+    """schedule() by the newest feed before the end, of a catalog table of timetable zips; None if there is none."""
+    newest = ordering.before(snapshots, "date", datetime(1970, 1, 1) + timedelta(seconds=end), 1)
+    if newest.isEmpty():
+        return None
+    return schedule(archives.gtfs_from_zip(newest.select(F.unbase64("data").alias("content"))), start, end, zone)

@@ -88,3 +88,18 @@ def collection(features: DataFrame) -> DataFrame:
     """All features as one FeatureCollection: one row, for a thin service that asked for a bounded interval."""
     joined = F.array_join(F.array_sort(F.collect_list("feature")), ",")
     return features.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), joined, F.lit("]}")).alias("value"))
+
+
+# What snapshots of the city network and of trains hold.
+VEHICLES = "array<struct<properties:struct<uuid:string,lineId:string,direction:int,color:string,pointId:bigint,distanceFromPoint:double,distance:double>,geometry:struct<coordinates:array<double>>>>"
+TRAINS = "array<struct<properties:struct<trip_id:string,trip_headsign:string,name_start:string,name_end:string,ptcarid_start:string,ptcarid_end:string>,geometry:struct<coordinates:array<double>>>>"
+
+
+def vehicle_trips(snapshots: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Trajectories of identified vehicles, by uuid."""
+    return trajectories(snapshots, VEHICLES, "uuid", start, end, drop=["distance", "distanceFromPoint", "pointId"])
+
+
+def train_trips(snapshots: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Trajectories of trains, by trip."""
+    return trajectories(snapshots, TRAINS, "trip_id", start, end)

@@ -10,7 +10,6 @@ from tramlake.functions.time import blob_name
 from tramlake.operators import matching, ordering
 
 SCHEMA = "id bigint, date timestamp_ntz, data string, type string, hash string, copy_id bigint"
-BINARY_SCHEMA = SCHEMA.replace("data string", "data binary")
 
 
 class Catalog:
@@ -22,12 +21,11 @@ class Catalog:
     def _path(self, component: str) -> str:
         return f"{self.folder}/component={component}"
 
-    def create(self, components, binary: bool = False) -> None:
+    def create(self, components) -> None:
         """Makes a table for each component that has none."""
         for c in components:
             if not self.exists(c):
-                rows = self.spark.createDataFrame([], BINARY_SCHEMA if binary else SCHEMA)
-                rows.write.mode("append").parquet(self._path(c))
+                self.spark.createDataFrame([], SCHEMA).write.mode("append").parquet(self._path(c))
 
     def exists(self, component: str) -> bool:
         jvm = self.spark._jvm
@@ -65,14 +63,15 @@ class Catalog:
         return self.raw(component).agg(F.max("date")).first()[0]
 
     def append(self, component: str, results: DataFrame, kind: str = "json", share: bool = True) -> None:
-        """results: date and data (null for a tombstone). Ids go on from the largest one; with `share`, a payload that the
+        """results: date and data (null for a tombstone), text or bytes; bytes are kept as base64. Ids go on from the largest one; with `share`, a payload that the
         table has already, or that comes twice, is stored as a pointer. Dates that the table has already are left out, so a
         run that broke off can be run again."""
         held = self.raw(component)
         new = results.join(held.select("date"), "date", "left_anti")
         base = held.agg(F.max("id")).first()[0] or 0
-        numbered = ordering.numbered(new, ["date"], F.date_trunc("day", "date"), "__n").select((F.col("__n") + base).cast("long").alias("id"), "date", F.col("data").cast("string").alias("data"))
-        rows = numbered.select("id", "date", "data", F.lit(kind).alias("type"), F.md5(F.col("data").cast("binary")).alias("hash"))
+        numbered = ordering.numbered(new, ["date"], F.date_trunc("day", "date"), "__n").select((F.col("__n") + base).cast("long").alias("id"), "date", "data")
+        kept = F.base64("data") if dict(results.dtypes)["data"] == "binary" else F.col("data").cast("string")
+        rows = numbered.select("id", "date", kept.alias("data"), F.lit(kind).alias("type"), F.md5(F.col("data").cast("binary")).alias("hash"))
         if share:
             known = held.where("hash IS NOT NULL AND copy_id IS NULL").groupBy("hash").agg(F.min("id").alias("__known"))
             first = rows.where("hash IS NOT NULL").groupBy("hash").agg(F.min("id").alias("__first"))
@@ -94,4 +93,4 @@ def decoded(rows: DataFrame, kind: str) -> DataFrame:
     own = rows.where(F.col("type") == kind)
     if kind == "json":
         return own.withColumn("payload", F.parse_json("data"))
-    return own.withColumn("payload", F.col("data").cast("string" if kind == "text" else "binary"))
+    return own.withColumn("payload", F.col("data") if kind == "text" else F.unbase64("data"))

@@ -9,10 +9,12 @@ from __future__ import annotations
 import json
 import os
 import random
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
+
+BOX = ("lamin", "lomin", "lamax", "lomax")
 
 Transport = Callable[[str, dict, dict], tuple[int, bytes]]
 
@@ -93,6 +95,20 @@ def pages_by_number(get: Callable[[dict], dict], size: int, results: str, total:
             return
 
 
+def body(options: dict, transport: Transport, params: dict, environment: dict[str, str] | None = None) -> bytes:
+    """The answer to a request as the options have it: box parameters, tokens, client credentials. Secrets come from `environment`,
+    by default the variables of the process that reads."""
+    environment = os.environ if environment is None else environment
+    params = params | {name: options[name] for name in BOX if name in options}
+    if "token_key" in options:
+        return fetch_with_any(transport, options["url"], tokens(options["token_key"], environment), params, options.get("token_header", "Authorization"))
+    headers = {}
+    if "token_url" in options:
+        token = client_token(transport, options["token_url"], environment[options["client_key"]], environment[options["secret_key"]])
+        headers = {"Authorization": f"Bearer {token}"}
+    return fetch(transport, options["url"], params, headers)
+
+
 class Page(InputPartition):
     def __init__(self, params: dict):
         super().__init__(params)
@@ -102,19 +118,16 @@ class Page(InputPartition):
 class Reader(DataSourceReader):
     """One row a result, its JSON text. With a total count, each page after the first is a partition of its own."""
 
-    def __init__(self, options: dict, transport: Transport):
-        self.options, self.transport = options, transport
+    def __init__(self, options: dict, transport: Transport, environment: dict[str, str] | None = None):
+        self.options, self.transport, self.environment = options, transport, environment
         self.size, self.style = int(options.get("page_size", 1000)), options.get("pagination", "none")
         self.results = options.get("results", "results")
 
+    def _body(self, params: dict) -> bytes:
+        return body(self.options, self.transport, params, self.environment)
+
     def _get(self, params: dict) -> dict:
-        url, keys = self.options["url"], tokens(self.options["token_key"]) if "token_key" in self.options else []
-        for name in ("lamin", "lomin", "lamax", "lomax"):
-            if name in self.options:
-                params = params | {name: self.options[name]}
-        if keys:
-            return json.loads(fetch_with_any(self.transport, url, keys, params, self.options.get("token_header", "Authorization")))
-        return json.loads(fetch(self.transport, url, params))
+        return json.loads(self._body(params))
 
     def partitions(self) -> list[InputPartition]:
         if self.style == "offset":
@@ -124,6 +137,9 @@ class Reader(DataSourceReader):
         return [Page({})]
 
     def read(self, partition: Page) -> Iterator[tuple]:
+        if self.options.get("body") == "binary":
+            yield (self._body({}),)
+            return
         if self.style == "none":
             body = self._get({})
             rows = at(body, self.results) if self.results else body
@@ -139,9 +155,10 @@ class Reader(DataSourceReader):
                 yield (json.dumps(row, ensure_ascii=False),)
 
 
-def register(spark: SparkSession, transport: Transport = urllib_transport, name: str = "http_json") -> None:
+def register(spark: SparkSession, transport: Transport = urllib_transport, name: str = "http_json", environment: dict[str, str] | None = None) -> None:
     """Makes spark.read.format(name) read JSON over HTTP. Options: url, pagination (none, offset, page), page_size, results, total,
-    token_key (environment variables KEY, KEY_1, ...), token_header, lamin, lomin, lamax, lomax."""
+    token_key (environment variables KEY, KEY_1, ...), token_header, token_url with client_key and secret_key (names of environment
+    variables), lamin, lomin, lamax, lomax, body (binary: one row, column content)."""
 
     class HttpJson(DataSource):
         @classmethod
@@ -149,9 +166,47 @@ def register(spark: SparkSession, transport: Transport = urllib_transport, name:
             return name
 
         def schema(self) -> str:
-            return "value string"
+            return "content binary" if self.options.get("body") == "binary" else "value string"
 
         def reader(self, schema) -> Reader:
-            return Reader(dict(self.options), transport)
+            return Reader(dict(self.options), transport, environment)
 
     spark.dataSource.register(HttpJson)
+
+
+class StatesReader(DataSourceReader):
+    """State vectors of aircraft; bounds on longitude and latitude become the request's box."""
+
+    def __init__(self, options: dict, transport: Transport, environment: dict[str, str] | None = None):
+        self.options, self.transport, self.environment = options, transport, environment
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        names = {("latitude", GreaterThanOrEqual): ("lamin", max), ("latitude", LessThanOrEqual): ("lamax", min), ("longitude", GreaterThanOrEqual): ("lomin", max), ("longitude", LessThanOrEqual): ("lomax", min)}
+        for f in filters:
+            if found := names.get((getattr(f, "attribute", ("",))[0], type(f))):
+                name, tighter = found
+                self.options[name] = str(tighter(float(self.options.get(name, f.value)), f.value))
+            yield f  # the service may round the box, so the filter is kept
+
+    def read(self, partition) -> Iterator[tuple]:
+        rows = json.loads(body(self.options, self.transport, {}, self.environment)).get("states") or []
+        for row in rows:
+            yield (json.dumps(row), row[5], row[6])
+
+
+def register_states(spark: SparkSession, transport: Transport = urllib_transport, name: str = "aircraft_states", environment: dict[str, str] | None = None) -> None:
+    """Makes spark.read.format(name) read aircraft state vectors: state (JSON text), longitude, latitude. Filters reach the request
+    with spark.sql.python.filterPushdown.enabled."""
+
+    class States(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return name
+
+        def schema(self) -> str:
+            return "state string, longitude double, latitude double"
+
+        def reader(self, schema) -> StatesReader:
+            return StatesReader(dict(self.options), transport, environment)
+
+    spark.dataSource.register(States)
