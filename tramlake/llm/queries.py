@@ -19,6 +19,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_decontaminate": decontaminate.SQL,
+    "op3_warc": warc.SQL,
     "op6_licenses": licenses.sql(),
     "op9_mix_sources": mixing.SQL,
 }

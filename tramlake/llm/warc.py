@@ -204,3 +204,15 @@ def archive(pages: DataFrame, folder: str) -> DataFrame:
 
 def query(pages: DataFrame) -> DataFrame:
     return read_records(archive(pages, f"{shared_dir(pages.sparkSession)}/warc-{uuid4().hex}"))
+
+
+# Base 32 by blocks of 20 bits: five hex digits make four characters.
+SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, upper(sha1(payload)) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, (5 * i + 1)::INTEGER, 5))::INTEGER >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
