@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,16 +100,20 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
                 yield pa.RecordBatch.from_arrays([part.column("lot"), part.column("doc_id"), part.column("label"), *cells], names=["lot", "doc_id", "label", "at", "x"])
 
     def fitted(batches):
-        rows = [
+        rows = (
             ((np.frombuffer(a, np.int32), np.frombuffer(x, np.float32)), y)
             for batch in batches
-            for a, x, y in zip(batch.column("at").to_pylist(), batch.column("x").to_pylist(), batch.column("label").to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array([fit(rows * PASSES).tobytes() if rows else None], pa.binary())], names=["w"])
+            for a, x, y in zip(batch.column("at"), batch.column("x"), batch.column("label").to_pylist(), strict=True)
+            for a, x in [(a.as_py(), x.as_py())]
+        )
+        first = next(rows, None)
+        yield pa.RecordBatch.from_arrays([pa.array([fit(chain([first], rows)).tobytes() if first else None], pa.binary())], names=["w"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = sample.mapInArrow(vectors, f"lot bigint, doc_id {kind}, label double, at binary, x binary")
-    weights = found.repartition(1).sortWithinPartitions("lot", "doc_id", "at", "label").mapInArrow(fitted, "w binary").collect()
+    # Each pass is a copy of the sample, so that the task holds the weights and a batch, however long the texts are.
+    passes = found.withColumn("pass", F.explode(F.array(*map(F.lit, range(PASSES)))))
+    weights = passes.repartition(1).sortWithinPartitions("pass", "lot", "doc_id", "at", "label").mapInArrow(fitted, "w binary").collect()
     return next((np.frombuffer(r.w, np.float32) for r in weights if r.w), None)
 
 
