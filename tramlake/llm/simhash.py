@@ -259,7 +259,8 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     for _ in range(most):
         # Large-star: a node's larger neighbours move to its least neighbour (or itself).
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
+        # Written first: a join of two plain shuffles is one whose hot keys, such as a root with very many neighbours, can be split.
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).coalesce(parts))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b")).distinct()
         # Small-star: a node and its smaller neighbours move to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("root"))
@@ -277,9 +278,13 @@ def components_of(prints: DataFrame, tree: int = TREE) -> DataFrame:
     """fp (distinct) and component_id, the smallest doc_id of its component, from doc_id and fp rows."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     joined = components(links(distinct.select("fp"), tree))
-    rooted = distinct.join(joined, distinct.fp == joined.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rooted.join(lows, "root").select("fp", "component_id")
+    members = joined.union(joined.select("root", "root").distinct()).withColumnsRenamed({"node": "fp"})
+    linked = members.join(distinct, "fp")
+    # The smallest ids of the components with links, written first so that a component of very many members can be split.
+    lows = cut(linked.groupBy("root").agg(F.min("low").alias("least")))
+    named = linked.join(lows, "root").select("fp", "least", F.lit(True).alias("in_group"))
+    own = F.when(F.col("in_group"), F.col("least")).otherwise(F.col("low"))
+    return distinct.join(named, "fp", "left").select("fp", own.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, tree: int = TREE) -> DataFrame:
