@@ -41,6 +41,18 @@ def whole_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row")
 
 
+def with_text(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns row and text, or row alone if it has the text: a batch for Python holds each text once."""
+    kept = keep or docs.columns
+    return docs.select(whole_row(docs, kept), *(["text"] if "text" not in kept else []))
+
+
+def texts_of(batch) -> list[bytes]:
+    """The texts of such a batch as UTF-8; null is empty."""
+    column = batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
+    return [t or b"" for t in column.cast("binary").to_pylist()]
+
+
 def row_schema(rows: DataFrame, more: str) -> T.StructType:
     """The type of the column row, followed by the columns of a DDL string."""
     return T.StructType([rows.schema["row"], *T.StructType.fromDDL(more).fields])

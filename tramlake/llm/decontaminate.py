@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import spacing, whole_row, word_blocks
+from tramlake.llm.common import spacing, texts_of, with_text, word_blocks
 
 WINDOW = 13
 #: A document is contaminated if it has a hit word and at least one word in so many is hit.
@@ -212,8 +212,8 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, b
     """A row a document: row (struct of the columns `keep`), n_words, spans (hit word ranges, apart), items, longest match
     (words, item, at which word), contaminated."""
     spark = docs.sparkSession
-    out = docs.select(
-        whole_row(docs, keep), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.lit(0).cast("long").alias("n_words"),
+    out = with_text(docs, keep).select(
+        "*", F.lit(0).cast("long").alias("n_words"),
         F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"), F.lit(None).cast(LONGEST).alias("longest"),
     )
     for q in [*query_blocks(benchmark, block_text)] or [index_queries([])]:
@@ -222,8 +222,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, b
         def scanned(batches, shared=shared):
             for batch in batches:
                 q = shared.value
-                texts = batch.column("text").cast(pa.binary()).to_pylist()
-                got = [x for part in shards(texts, shard_text) for x in scan(q, part)]
+                got = [x for part in shards(texts_of(batch), shard_text) for x in scan(q, part)]
                 cols = {name: batch.column(name) for name in batch.schema.names}
                 for k, name in ((1, "spans"), (2, "items")):
                     kind = batch.schema.field(name).type

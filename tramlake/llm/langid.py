@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import crc32_of_id, row_schema, text_blocks, whole_row
+from tramlake.llm.common import crc32_of_id, row_schema, text_blocks, texts_of, with_text
 
 FOLDS, HELD_OUT = 4, 2
 QUOTA, TRAIN_ROWS = 500, 4000
@@ -145,7 +145,7 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str] | None = None)
 
     def told(batches):
         for batch in batches:
-            text, model = batch.column("text").to_pylist(), shared.value
+            text, model = [t.decode("utf-8", "replace") for t in texts_of(batch)], shared.value
             lang, score, ambiguous = [UNKNOWN] * len(text), np.zeros(len(text)), np.ones(len(text), bool)
             clear = [k for k, t in enumerate(text) if model and t and LETTER.search(t)]
             for k in range(0, len(clear), 256):
@@ -155,7 +155,7 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str] | None = None)
                     lang[i] = name
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(lang), pa.array(score), pa.array(ambiguous)], names=["row", "lang_pred", "score", "ambiguous"])
 
-    rows = docs.select(whole_row(docs, keep), "text")
+    rows = with_text(docs, keep)
     return rows.mapInArrow(told, row_schema(rows, "lang_pred string, score double, ambiguous boolean"))
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import as_bytes, crc32_of_id, row_schema, text_blocks, whole_row
+from tramlake.llm.common import as_bytes, crc32_of_id, row_schema, text_blocks, texts_of, with_text
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 TRAIN_ROWS, PASSES = 12_000, 2
@@ -125,7 +125,7 @@ def scored(docs: DataFrame, weights: np.ndarray | None, keep: list[str] | None =
         kept: dict[bytes, int] = {}
         for batch in batches:
             w, out = shared.value, []
-            for text in batch.column("text").to_pylist():
+            for text in texts_of(batch):
                 if w is None:
                     out.append(0.5)
                     continue
@@ -133,7 +133,7 @@ def scored(docs: DataFrame, weights: np.ndarray | None, keep: list[str] | None =
                 out.append(float(1 / (1 + np.exp(-(w[at] @ x + w[-1])))))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.float64())], names=["row", "score"])
 
-    rows = docs.select(whole_row(docs, keep), as_bytes("text").alias("text"))
+    rows = with_text(docs, keep)
     return rows.mapInArrow(told, row_schema(rows, "score double"))
 
 
