@@ -25,6 +25,15 @@ def test_pages(html, text):
     assert H.visible_text(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<p title=it's ok>Text one don't <b>x</b>", "Text one don't x"), ('<p class="a"">one <b id="x">two</b>', "one two"), ("<p it's>one</p><p>don't", "one\n\ndon't"),
+    ('<p a=b"c>one <i d="e">two</i>', "one two"), ("<p = 'x>one <i>it's</i>", "one it's"), ("</p it's>one <i>it's</i>", "one it's"),
+    ("<p title = 'a > b'>one<p title=\"it's > 'so'\"hidden>two<p title=a/b>three", "one\n\nthree"), ("<p title='a>b <i>c</i>", "b c"),
+])
+def test_a_quote_opens_a_string_only_after_the_equals_sign(html, text):
+    assert H.visible_text(html) == text
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<table>", "</table>", "<tr>", "<td>", "</td>", "<li>", "<ul>", "</ul>", "<ol>", "</ol>", "<b", "</", "<!--", "-->", "<pre>", "</pre>", "x", " ", "&", "<dd>", "<q>", "</q>", "<details>", '"', "<blockquote>", "</blockquote>", "<td colspan=3 rowspan=2>"]), max_size=25).map("".join))
 def test_no_page_raises(html):

@@ -7,6 +7,7 @@ their bullets or numbers and are indented by level, preformatted text keeps its
 columns, spans included.
 
 Defined cases: null and empty pages give empty text; text without tags is collapsed text; an unterminated tag at the end is left out;
+a quote that nothing closes opens no string;
 elements nested more than DEPTH deep become children of the deepest one, so time and memory stay linear; no page
 raises; columns other than the id and the html are ignored.
 """
@@ -52,8 +53,10 @@ P_LIMIT = frozenset("button caption td th table body html object".split())
 END_LIMIT = frozenset("td th caption table".split())
 TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 
-TOKEN = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?/](?![a-zA-Z])[^>]*(?:>|\Z)|!\w[^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*(?:>|\Z)))""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: As the standard's tokenizer reads them: a quote opens a string only directly after "=" and white space, else it is part of a name or value.
+ATTRIBUTE = r"""(=?[^ \t\n\f\r/>=]++|=)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+("[^"]*+"|'[^']*+'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*+))?+"""
+TOKEN = re.compile(rf"""<(?:!--.*?(?:--!?>|\Z)|[!?/](?![a-zA-Z])[^>]*(?:>|\Z)|!\w[^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[ \t\n\f\r/]++|{ATTRIBUTE})*+(?:>|\Z)))""", re.S)
+ATTRIBUTE = re.compile(ATTRIBUTE)
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SIMPLE = re.compile(r"[a-z0-9]*(?:[.#][\w-]+)?", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
