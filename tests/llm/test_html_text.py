@@ -34,6 +34,25 @@ def test_a_quote_opens_a_string_only_after_the_equals_sign(html, text):
     assert H.visible_text(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"), ("<math><semantics><mi>x</mi><annotation>x tex</annotation></semantics></math>y", "xy"),
+    ("<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr><mtr><mtd><mn>3</mn></mtd></mtr></mtable></math>", "1 2\n3"),
+    ("<svg><title>t</title><desc>d<p>e</p></desc><defs><text>f</text></defs><g><text x=1>Label <tspan>one</tspan></text><text>two</text></g></svg>z", "Label one\ntwo\nz"),
+    ("<svg><defs/><title/><path d='M0'/><style/><script/><text>a<tspan/>b</text></svg>c", "ab\nc"), ("<svg>not drawn<g>nor this</g><a>nor<text>this is</text></a></svg>", "this is"),
+    ("<svg><style>.h{display:none}</style><text class=h>a</text><text display=none>b</text><text visibility=hidden>c</text><text>d</text></svg>", "d"),
+    ("<svg><foreignObject><p>one<p>two</p></foreignObject><text>three</text></svg>", "one\n\ntwo\n\nthree"), ("<svg><g><text>a<p>b</svg>c", "a\n\nbc"),
+    ("<svg><text><![CDATA[a < b]]></text></svg>", "a < b"), ("<p>x<svg><text>a</text></svg></p>y", "x\na\n\ny"), ("<svg:text>plain</svg:text><math><mi>i</svg></math>j", "plainij"),
+])
+def test_formulas_and_labels_of_drawings(html, text):
+    assert H.visible_text(html) == text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<svg>", "</svg>", "<math>", "</math>", "<g>", "<g/>", "</g>", "<text>", "</text>", "<mi>", "</mi>", "<foreignObject>", "</foreignObject>", "<title>", "</title>", "<desc>", "<p>", "</p>", "<br>", "</br>", "<table>", "<td>", "</table>", "<li>", "<![CDATA[", "]]>", "<style>", "</style>", "<annotation-xml>", "x"]), max_size=25).map("".join))
+def test_no_drawing_or_formula_raises(html):
+    H.visible_text(html)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<table>", "</table>", "<tr>", "<td>", "</td>", "<li>", "<ul>", "</ul>", "<ol>", "</ol>", "<b", "</", "<!--", "-->", "<pre>", "</pre>", "x", " ", "&", "<dd>", "<q>", "</q>", "<details>", '"', "<blockquote>", "</blockquote>", "<td colspan=3 rowspan=2>"]), max_size=25).map("".join))
 def test_no_page_raises(html):

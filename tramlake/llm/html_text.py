@@ -2,7 +2,8 @@
 
 A page is parsed into a tree (implied end tags, void elements, raw-text elements, scope limits of tables and lists) and rendered by
 walking it: what the head holds, scripts, templates, hidden and undisplayed elements, and closed details and dialogs give nothing;
-everything else gives its text. Blocks begin new lines, paragraphs, headings, lists and tables stand apart by an empty line, items get
+everything else gives its text, formulas and the labels of drawings too. Elements of these are named math/... and svg/... in the
+tree; each label is a line, and each row of a formula's table. Blocks begin new lines, paragraphs, headings, lists and tables stand apart by an empty line, items get
 their bullets or numbers and are indented by level, preformatted text keeps its white space, and table cells are padded to
 columns, spans included.
 
@@ -29,10 +30,14 @@ SPAN = 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 HEAD = frozenset("base link meta noscript script style template title".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas svg math datalist param source track area map rp".split())
+UNSEEN = frozenset(
+    "head script style template title noscript iframe noembed noframes object audio video canvas datalist param source track area map rp "
+    "svg/defs svg/desc svg/metadata svg/title svg/symbol svg/clippath svg/mask svg/marker svg/pattern svg/lineargradient svg/radialgradient svg/filter svg/script svg/style "
+    "math/annotation math/annotation-xml math/mphantom math/script math/style".split()
+)
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
-    "legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp".split()
+    "legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp svg/text svg/foreignobject math/mtr math/mlabeledtr".split()
 )
 APART = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr ol p pre table ul menu dir xmp".split())
 ENDS_P = frozenset(
@@ -40,17 +45,23 @@ ENDS_P = frozenset(
     "search section summary table ul xmp".split()
 )
 LISTS = frozenset("ul ol menu dir".split())
+#: Elements of drawings and formulas that hold HTML, and start tags that end a drawing or formula.
+POINTS = frozenset("svg/foreignobject svg/desc svg/title math/mi math/mo math/mn math/ms math/mtext".split())
+BREAKS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup "
+    "table tt u ul var".split()
+)
 CELLS = frozenset("td th".split())
 SECTIONS = frozenset("thead tbody tfoot".split())
 #: What a start tag ends: the nearest of these, unless one of those stands between.
 ENDS = {
-    "li": (frozenset(["li"]), LISTS), "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])), "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "li": (frozenset(["li"]), LISTS | POINTS), "dt": (frozenset(["dt", "dd"]), POINTS | {"dl"}), "dd": (frozenset(["dt", "dd"]), POINTS | {"dl"}),
     "tr": (frozenset(["tr"]), frozenset(["table"])), "td": (CELLS, frozenset(["tr", "table"])), "th": (CELLS, frozenset(["tr", "table"])),
     "thead": (SECTIONS, frozenset(["table"])), "tbody": (SECTIONS, frozenset(["table"])), "tfoot": (SECTIONS, frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select", "optgroup"])), "optgroup": (frozenset(["optgroup"]), frozenset(["select"])),
 }
-P_LIMIT = frozenset("button caption td th table body html object".split())
-END_LIMIT = frozenset("td th caption table".split())
+P_LIMIT = frozenset("button caption td th table body html object".split()) | POINTS
+END_LIMIT = frozenset("td th caption table".split()) | POINTS
 TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 
 #: As the standard's tokenizer reads them: a quote opens a string only directly after "=" and white space, else it is part of a name or value.
@@ -69,6 +80,16 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
+def kind(tag: str, inside: str, attrs: dict[str, str]) -> str:
+    """The name in the tree of an element that starts inside another."""
+    space, _, name = inside.rpartition("/")
+    if not space or inside in POINTS and not (space == "math" and tag in ("mglyph", "malignmark")):
+        return f"{tag}/{tag}" if tag in ("svg", "math") else tag
+    if tag in BREAKS or tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")):
+        return tag
+    return "svg/svg" if name == "annotation-xml" and tag == "svg" else f"{space}/{tag}"
+
+
 def parse(html: str) -> tuple[list, set[str]]:
     """The tree (nodes are [tag, attributes, children], texts are strings) and the simple selectors that style sheets hide."""
     root = ["#root", {}, []]
@@ -98,12 +119,33 @@ def parse(html: str) -> tuple[list, set[str]]:
             text(unescape(html[at:]))
             break
         text(unescape(html[at : found.start()]))
+        inside = open_[-1][0]
+        if "/" in inside and html.startswith("<![CDATA[", found.start()):
+            stop = html.find("]]>", found.start())
+            text(html[found.start() + 9 : stop if stop >= 0 else end])
+            at = stop + 3 if stop >= 0 else end
+            continue
         at, tag = found.end(), found[2]
         if tag is None:
             continue
         if not found[3].endswith(">"):
             break
         tag = tag.lower()
+        source = found[3][:-1]
+        attrs = attributes(source) if source.strip() else {}
+        if "/" in inside:
+            space = inside.partition("/")[0]
+            if found[1] and tag not in ("br", "p"):
+                if count[f"{space}/{tag}"]:
+                    k = next(k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == f"{space}/{tag}" or "/" not in open_[k][0])
+                    if k and "/" in open_[k][0]:
+                        count.subtract(node[0] for node in open_[k:])
+                        del open_[k:]
+                        continue
+            elif found[1] or kind(tag, inside, attrs) == tag:
+                while "/" in open_[-1][0] and open_[-1][0] not in POINTS:
+                    count[open_.pop()[0]] -= 1
+        tag = tag if found[1] else kind(tag, open_[-1][0], attrs)
         if found[1]:
             if tag == "br":
                 open_[-1][2].append(["br", {}, []])
@@ -120,10 +162,12 @@ def parse(html: str) -> tuple[list, set[str]]:
             close(("p",), P_LIMIT)
         if tag in ENDS:
             close(*ENDS[tag])
-        source = found[3][:-1]
-        node = [tag, attributes(source) if source.strip() else {}, []]
+        node = [tag, attrs, []]
         open_[-1][2].append(node)
-        if tag in RAW:
+        if "/" in tag and source.endswith("/"):
+            continue
+        if tag in RAW or tag in ("svg/script", "svg/style"):
+            tag = tag.rpartition("/")[2]
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
             data = html[at : stop.start() if stop else end]
             node[2].append(unescape(data) if tag in ("title", "textarea") else data)
@@ -144,11 +188,14 @@ def visible(node: list, hidden: set[str]) -> bool:
     tag, attrs, _ = node
     if tag in UNSEEN or tag == "dialog" and "open" not in attrs:
         return False
-    if attrs and ("hidden" in attrs or "style" in attrs and HIDES.search(attrs["style"])):
+    space, _, name = tag.rpartition("/")
+    if attrs and ("hidden" in attrs and space != "svg" or "style" in attrs and HIDES.search(attrs["style"])):
+        return False
+    if space == "svg" and (attrs.get("display", "").strip() == "none" or attrs.get("visibility", "").strip() in ("hidden", "collapse")):
         return False
     if hidden:
         marks = [f".{c}" for c in attrs.get("class", "").split()] + ([f"#{attrs['id']}"] if "id" in attrs else [])
-        return tag not in hidden and not any(m in hidden or tag + m in hidden for m in marks)
+        return name not in hidden and not any(m in hidden or name + m in hidden for m in marks)
     return True
 
 
@@ -254,7 +301,7 @@ def visible_text(html: str | None) -> str:
     if not html:
         return ""
     tree, hidden = parse(html)
-    sheets, tables, lists, pre = [Sheet()], [], [], 0
+    sheets, tables, lists, pre, labels = [Sheet()], [], [], 0, 0
     todo: list = [(tree, True)]
     while todo:
         node, enter = todo.pop()
@@ -301,6 +348,12 @@ def visible_text(html: str | None) -> str:
                 sheets.append(Sheet())
             elif tag == "q":
                 sheet.text('"')
+            elif tag == "svg/text":
+                labels += 1
+            elif tag == "math/mtd":
+                sheet.space = True
+            if tag.startswith("svg/") and not labels and tag != "svg/foreignobject":  # text of a drawing that is in no label is not drawn
+                children = [x for x in children if not isinstance(x, str)]
             todo.append((node, False))
             if tag == "details" and "open" not in attrs:
                 children = [x for x in children if not isinstance(x, str) and x[0] == "summary"][:1]
@@ -330,6 +383,8 @@ def visible_text(html: str | None) -> str:
                 sheet.end(True)
         elif tag == "q":
             sheet.put('"')
+        elif tag == "svg/text":
+            labels -= 1
         if tag in APART and not (tag in LISTS and lists):
             sheet.apart()
         elif tag in BLOCK:
