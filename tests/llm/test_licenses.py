@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from tramlake.llm import licenses as L
@@ -25,6 +27,35 @@ def test_lines(spark, line, family):
     assert scan(spark, f"Prose of the day.\n\n{line}\nMore of it.") == [(0, 2, family)]
 
 
+PROSE = "The people of the village gave their time to this study in the spring and again in the autumn of the same year, and two teams wrote it down by hand."
+
+
+@pytest.mark.parametrize(("notice", "family"), [
+    ("Licensed under CC BY 4.0.", "CC-BY"), ("Shared under CC BY-NC-SA 4.0 for all,", "CC-BY-NC"), ("all of it is licensed under the Apache License, Version 2.0, and", "Apache-2.0"),
+    ("Copyright 2020 Example Corporation. All rights reserved.", "Proprietary"), ("which is released under the MIT License, as", "MIT"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA"),
+])
+def test_notices_inside_paragraphs(spark, notice, family):
+    assert scan(spark, f"Day one.\n\n{PROSE} {notice} {PROSE}") == [(0, 2, family)]
+    assert [f for _, _, f in scan(spark, textwrap.fill(f"{PROSE} {notice} {PROSE}", 40)) if f != L.UNKNOWN] == [family]
+    assert scan(spark, f"{PROSE} {PROSE}") == []
+
+
+@pytest.mark.parametrize(("kind", "version", "family"), [("", "3", "GPL-3.0"), ("", "2", "GPL-2.0"), ("Affero ", "3", "AGPL-3.0"), ("Lesser ", "2.1", "LGPL")])
+def test_wrapped_headers(spark, kind, version, family):
+    header = (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the "
+        f"Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    )
+    for width in (50, 60, 70, 80):
+        found = scan(spark, "Code of the day.\n\n" + textwrap.fill(header, width) + "\n\nThis program is distributed in the hope that it will be useful.")
+        assert {f for _, _, f in found if f != L.UNKNOWN} == {family} and len([f for _, _, f in found if f == family]) == 1, (width, found)
+
+
+def test_two_notices_in_a_paragraph(spark):
+    assert scan(spark, f"{PROSE} Licensed under CC BY-NC 4.0. {PROSE} {PROSE} Released under the MIT License. {PROSE}") == [(0, 0, "CC-BY-NC"), (0, 0, "MIT")]
+
+
 def test_nulls_empty_repeats(spark):
     assert scan(spark, None, "", "\n\n", "!!!", "the of and") == []
     docs = spark.createDataFrame([(1, "All rights reserved.")] * 3 + [(None, "All rights reserved.")], "doc_id long, text string")

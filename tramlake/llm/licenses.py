@@ -6,8 +6,14 @@ the best family are calibrated on held-out folds of the training paragraphs. A p
 KNOWN, and of whose features at least ALIKE occur in that family's notices, is of that family. One that is not, but that the
 regression for any kind gives LICENCE or more log-odds, is of family `unknown`. Any other gives no row.
 
+A notice that is part of a line, or wrapped over lines, is found in windows of its paragraph's words (lines up to one without a word).
+Around each of the TELLS, windows of WIDTHS words that overlap are judged as lines are, with the likeness inside the window and the
+log-odds of a family's own features, but only for families whose TELLS they have. A line that is known and has its family's TELLS stays
+as it is and bounds the windows; of the windows the best that do not overlap are rows of the line in which they begin, in place of
+what the lines under them gave. The SQL below has the lines only: it says the same wherever notices are lines of their own.
+
 Training happens on the driver and sees only the constants below. Scanning is DataFrame work alone: one pass, no shuffle, whole lines
-up to any length, and only lines with a weighted feature go on to the arithmetic.
+up to any length; only lines with a weighted feature go on to the arithmetic, and only texts with one of the TELLS to windows.
 
 Defined cases: null and empty texts have no paragraphs; each repeated row is scanned by itself; a null doc_id is carried along; other
 columns are ignored.
@@ -153,6 +159,22 @@ ORDINARY = (
     "This file is large and the use of a faster disk is advised.",
     "The terms of the loan were fair, and it was paid in three years.",
 )
+# What tells a family of notices in windows: one of each list must be there, and nothing of UNLIKE within two words.
+TELLS = {
+    "AGPL-3.0": (("affero", "agpl"),), "Apache-2.0": (("apache license", "apache 2"),), "BSD": (("bsd", "redistribution and", "to endorse"),),
+    "CC-BY": (("cc by", "commons attribution"),), "CC-BY-NC": (("by nc", "attribution noncommercial", "attribution non"),),
+    "CC-BY-SA": (("by sa", "attribution sharealike", "attribution share"),), "CC0-1.0": (("cc0", "has waived"),),
+    "GPL-2.0": (("gnu general", "gnu gpl", "gpl 2", "gpl v2"), ("version 2", "gpl 2", "gpl v2")),
+    "GPL-3.0": (("gnu general", "gnu gpl", "gpl 3", "gpl v3"), ("version 3", "gpl 3", "gpl v3")),
+    "ISC": (("isc license", "identifier isc", "purpose with"),), "LGPL": (("lesser general", "lgpl"),), "MIT": (("mit license", "identifier mit", "hereby granted"),),
+    "MPL-2.0": (("mozilla public", "mpl"),), "Proprietary": (("rights reserved", "and confidential", "this publication"),), "Unlicense": (("unlicense", "and unencumbered"),),
+}
+UNLIKE = {
+    "CC-BY": ("by nc", "by sa", "by nd", "attribution noncommercial", "attribution non", "attribution sharealike", "attribution share"),
+    "CC-BY-SA": ("by nc", "attribution noncommercial", "attribution non"),
+}
+#: Words of a window; windows of a width begin at this many places around one of the TELLS.
+WIDTHS, PLACES = (6, 9, 14, 21, 32, 48), 6
 
 
 def grams(text: str) -> list[str]:
@@ -212,7 +234,7 @@ def _listed(words) -> str:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """A row a licence paragraph: doc_id, paragraph (line number from 0), family, score (calibrated), likeness to the family's notices, line."""
+    """A row a licence notice: doc_id, paragraph (number from 0 of the line it begins in), family, score (calibrated), likeness to the family's notices, line."""
     m = model()
     # Constants that the optimizer folds to one array each; as lists of literals they would slow down planning.
     texts = lambda row: f"split('{'|'.join(row)}', '[|]')"
@@ -220,21 +242,63 @@ def scan(docs: DataFrame) -> DataFrame:
     array = lambda parts: f"array({', '.join(parts)})"
     # A name for a value inside an expression: whatever the optimizer copies or pushes down, each value is computed once.
     let = lambda name, value, body: f"transform(array({value}), {name} -> {body})[0]"
-    words = f"regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '[a-z0-9]+', 0)"
-    pairs = "transform(slice(words, 2, size(words)), (w, i) -> concat(words[i], ' ', w))"
+    words_of = lambda line: f"regexp_extract_all(translate({line}, '{UPPER}', '{LOWER}'), '[a-z0-9]+', 0)"
+    grams_of = lambda words: f"array_distinct(concat({words}, transform(slice({words}, 2, size({words})), (w, i) -> concat({words}[i], ' ', w))))"
+    families, templates = len(m["families"]), array(map(texts, m["templates"]))
     places = f"transform(hits, g -> cast(array_position({texts(m['vocabulary'])}, g) AS int))"
-    odds = f"zip_with({array(map(numbers, m['weights']))}, {numbers(m['bias'])}, (w, b) -> aggregate(places, 0D, (s, p) -> s + w[p - 1]) / sqrt(size(grams)) + b)"
+    odds_of = lambda weights, bias: f"zip_with({array(map(numbers, weights))}, {numbers(bias)}, (w, b) -> aggregate(places, 0D, (s, p) -> s + w[p - 1]) / sqrt(size(grams)) + b)"
     best = f"""named_struct(
-        'best', cast(array_position(odds, top) AS int), 'any', odds[{len(m['families'])}], 'score', round(1 / (1 + exp(-({m['slope']}D * top + {m['shift']}D))), 6),
-        'likeness', round(size(array_intersect(grams, {array(map(texts, m['templates']))}[cast(array_position(odds, top) AS int) - 1])) / size(grams), 6))"""
-    judged = let("places", places, let("odds", odds, let("top", f"array_max(slice(odds, 1, {len(m['families'])}))", best)))
+        'best', cast(array_position(odds, top) AS int), 'any', odds[{families}], 'score', round(1 / (1 + exp(-({m['slope']}D * top + {m['shift']}D))), 6),
+        'likeness', round(size(array_intersect(grams, {templates}[cast(array_position(odds, top) AS int) - 1])) / size(grams), 6))"""
+    judged = let("places", places, let("odds", odds_of(m["weights"], m["bias"]), let("top", f"array_max(slice(odds, 1, {families}))", best)))
     hits = f"filter(grams, g -> g IN ({_listed(m['vocabulary'])}))"
-    found = let("words", words, let("grams", f"array_distinct(concat(words, {pairs}))", let("hits", hits, f"CASE WHEN size(hits) > 0 THEN {judged} END")))
-    sure = f"found.score >= {KNOWN}D AND found.likeness >= {ALIKE}D"
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    out = lines.withColumn("found", F.expr(found)).where(f"found.any >= {LICENCE}D OR ({sure})")
-    family = F.expr(f"CASE WHEN {sure} THEN {texts(m['families'])}[found.best - 1] ELSE '{UNKNOWN}' END")
-    return out.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), family.alias("family"), "found.score", "found.likeness", "line")
+    found = let("words", words_of("line"), let("grams", grams_of("words"), let("hits", hits, f"CASE WHEN size(hits) > 0 THEN {judged} END")))
+    sure = lambda v: f"{v}.score >= {KNOWN}D AND {v}.likeness >= {ALIKE}D"
+    lines = f"filter(transform(lines, (line, k) -> named_struct('k', k, 'found', {found})), v -> v.found.any >= {LICENCE}D OR {sure('v.found')})"
+
+    # Texts with one of the TELLS. Which families have theirs among grams, with context around:
+    has = lambda name, f: " AND ".join([f"arrays_overlap({name}, {texts(one)})" for one in TELLS[f]] + [f"NOT arrays_overlap(context, {texts(UNLIKE[f])})" for _ in [f] if f in UNLIKE])
+    told_of = lambda name: array(has(name, f) for f in m["families"])
+    first = list(dict.fromkeys(t for f in m["families"] for t in TELLS[f][0]))
+    # A family's own features alone: the others tell it from families, which the TELLS do here.
+    own = [[x if g in set(t) else 0.0 for x, g in zip(w, m["vocabulary"], strict=True)] for w, t in zip(m["weights"], m["templates"], strict=False)]
+    around = "concat(slice(before, greatest(1, size(before) - 1), 2), line_words, slice(after, 1, 2))"
+    told_line = let("line_words", "words_in[v.k]", let("before", "coalesce(get(words_in, v.k - 1), split('', 'x'))", let("after", "coalesce(get(words_in, v.k + 1), split('', 'x'))", let("near", around,
+        let("context", grams_of("near"), let("grams", grams_of("line_words"), f"{told_of('grams')}[v.found.best - 1]"))))))
+    told = f"transform(filter(verdicts, v -> {sure('v.found')} AND {told_line}), v -> v.k)"
+    at = f"CASE WHEN w IN ({_listed(first)}) OR concat(w, ' ', coalesce(get(all_words, i + 1), '')) IN ({_listed(first)}) THEN i END"
+    anchors = f"filter(transform(all_words, (w, i) -> {at}), i -> i IS NOT NULL AND NOT bars[line_of[i]])"
+    reach = max(WIDTHS) - 1
+    # The words from low up to high that share the paragraph, and are in reach.
+    back, ahead = f"greatest(0, i - {reach})", f"least(size(all_words) - 1, i + {reach})"
+    above = f"coalesce(array_max(filter(sequence(line_of[{back}], line_of[i]), l -> bars[l])), -1)"
+    below = f"coalesce(array_min(filter(sequence(line_of[i], line_of[{ahead}]), l -> bars[l])), size(lines))"
+    low = f"i - size(filter(slice(line_of, {back} + 1, i - {back}), l -> l > above))"
+    high = f"i + size(filter(slice(line_of, i + 1, {reach + 1}), l -> l < below))"
+    spans = sorted({(-j * (n // PLACES), n - j * (n // PLACES)) for n in WIDTHS for j in range(PLACES)})
+    windows = f"array_distinct(transform({array(f'struct({a} AS a, {b} AS b)' for a, b in spans)}, x -> struct(greatest(low, i + x.a) AS low, least(high, i + x.b) AS high)))"
+    verdict = f"""named_struct('score', round(1 / (1 + exp(-({m['slope']}D * top + {m['shift']}D))), 6),
+        'likeness', round(size(array_intersect(grams, {templates}[cast(array_position(odds, top) AS int) - 1])) / size(grams), 6),
+        'low', x.low, 'high', x.high, 'best', cast(array_position(odds, top) AS int))"""
+    masked = let("told", told_of("grams"), f"CASE WHEN exists(told, t -> t) THEN {let('hits', hits, let('places', places, let('odds', f'zip_with(told, {odds_of(own, m["bias"][:families])}, (t, o) -> IF(t, o, -1000D))', let('top', 'array_max(odds)', verdict))))} END")
+    window = let("words", "slice(all_words, x.low + 1, x.high - x.low)", let("near", "slice(all_words, greatest(low, x.low - 2) + 1, least(high, x.high + 2) - greatest(low, x.low - 2))",
+        let("context", grams_of("near"), let("grams", grams_of("words"), masked))))
+    each = f"array_max(filter(transform({windows}, x -> {window}), v -> {sure('v')}))"
+    each = let("above", above, let("below", below, let("low", low, let("high", high, each))))
+    ranked = f"reverse(array_sort(array_distinct(filter(transform(anchors, i -> {each}), v -> v IS NOT NULL))))"
+    apart = "aggregate(ranked, slice(ranked, 1, 0), (kept, x) -> IF(exists(kept, y -> y.low < x.high AND x.low < y.high), kept, concat(kept, array(x))))"
+    row = lambda k, family, v: f"named_struct('paragraph', {k}, 'family', {family}, 'score', {v}.score, 'likeness', {v}.likeness, 'line', lines[{k}])"
+    named = lambda v: f"{texts(m['families'])}[{v}.best - 1]"
+    of_line = row("v.k", f"CASE WHEN {sure('v.found')} THEN {named('v.found')} ELSE '{UNKNOWN}' END", "v.found")
+    uncovered = "array_contains(told_lines, v.k) OR NOT exists(kept_windows, x -> v.k BETWEEN line_of[x.low] AND line_of[x.high - 1])"
+    merged = f"concat(transform(filter(verdicts, v -> {uncovered}), v -> {of_line}), transform(kept_windows, x -> {row('line_of[x.low]', named('x'), 'x')}))"
+    merged = let("ranked", ranked, let("kept_windows", apart, merged))
+    merged = let("told_lines", told, let("bars", "transform(words_in, (ws, k) -> size(ws) = 0 OR array_contains(told_lines, k))", let("anchors", anchors, merged)))
+    merged = let("words_in", f"transform(lines, line -> {words_of('line')})", let("all_words", "flatten(words_in)", let("line_of", "flatten(transform(words_in, (ws, k) -> array_repeat(k, size(ws))))", merged)))
+    marked = "(?i)(?<![a-zA-Z0-9])(" + "|".join(t.replace(" ", "[^a-zA-Z0-9]+") for t in first) + ")"
+    rows = let("lines", "split(text, '\n')", let("verdicts", lines, f"CASE WHEN text RLIKE '{marked}' THEN {merged} ELSE transform(verdicts, v -> {of_line}) END"))
+    out = docs.select("doc_id", F.explode(F.expr(rows)).alias("notice"))
+    return out.select("doc_id", F.col("notice.paragraph").cast("long").alias("paragraph"), "notice.family", "notice.score", "notice.likeness", "notice.line")
 
 
 def query(docs: DataFrame) -> DataFrame:
