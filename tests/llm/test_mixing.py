@@ -61,3 +61,17 @@ def test_training_order_follows_virtual_time(spark):
     docs = spark.createDataFrame([(k, "ab"[k % 2], "w w w") for k in range(50)], "doc_id long, source string, text string")
     out = [r.virtual_finish for r in M.training_order(M.mix(docs)).collect()]
     assert out == sorted(out) and out
+
+
+def test_training_order_has_every_copy(spark, sf):
+    mixed = M.mix(spark.read.parquet(f"{sf}/documents.parquet")).cache()
+    out = M.training_order(mixed).collect()
+    assert [r.virtual_finish for r in out] == sorted(r.virtual_finish for r in out)
+    taken, upto = defaultdict(int), defaultdict(int)
+    for r in out:
+        taken[r.doc_id] += r.taken
+        assert r.start == upto[r.source] and r.virtual_finish == (r.start + r.taken) / r.weight
+        upto[r.source] += r.taken
+    assert {r.doc_id: r.taken for r in mixed.collect() if r.taken} == taken
+    assert all(upto[r.source] == int(r.target) for r in out) and any(r.copy == 1 for r in out)
+    assert max(r.virtual_finish for r in out) <= max(r.target / r.weight for r in out)

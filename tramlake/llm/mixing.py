@@ -58,7 +58,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
-    """One row a document: doc_id, source, size, source_size, target, taken, virtual_finish (of its first copy)."""
+    """One row a document: doc_id, source, size, source_size, target, taken, virtual_finish (of its first copy), start (words before it) and weight."""
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"))
     sized = sized.withColumn("part", F.substring("key", 1, RANGE_DIGITS))
@@ -73,12 +73,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     start = F.col("before") + F.col("upto") - F.col("size")
     whole = F.floor("target")
     taken = sum((F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), whole - (start + e * F.col("source_size")))) for e in range(epochs)), F.lit(0).cast("long"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), ((start + F.col("size")) / F.col("weight")).alias("virtual_finish"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), ((start + F.col("size")) / F.col("weight")).alias("virtual_finish"), start.alias("start"), "weight")
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """The rows that the mix takes, range-partitioned and sorted by virtual finish time."""
-    return mixed.where("taken > 0").orderBy("virtual_finish", "doc_id")
+def training_order(mixed: DataFrame, epochs: int = EPOCHS) -> DataFrame:
+    """A row a copy that the mix takes, range-partitioned and sorted by the virtual time at which what is taken of it ends.
+
+    The columns are those of mix() and copy (from 0); taken, start and virtual_finish are the copy's own. No word taken is beyond the
+    level, so the order ends at the budget: its words are those of all targets, each rounded down.
+    """
+    copies = mixed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn("start", F.col("start") + F.col("copy") * F.col("source_size"))
+    copies = copies.withColumn("taken", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.floor("target") - F.col("start")))).where("taken > 0")
+    return copies.withColumn("virtual_finish", (F.col("start") + F.col("taken")) / F.col("weight")).orderBy("virtual_finish", F.col("source").asc_nulls_last(), "copy", "doc_id")
 
 
 def query(docs: DataFrame) -> DataFrame:
