@@ -107,5 +107,16 @@ def test_one_of_each_group_stays(spark):
     assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 2
 
 
+def test_one_of_each_group_stays_without_unique_ids(spark):
+    x, y, z = (" ".join(f"{c}{k}" for k in range(300)) for c in "xyz")
+    # 1 has texts of two groups, and 2 one of a group whose first document is 0.
+    rows = [(1, x), (1, y), (1, y), (5, x), (6, y), (2, z), (2, x), (0, z), (None, "only here"), (None, "only here"), (None, "ONLY here"), (None, x), (None, x)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `a.b` int")
+    left = S.first_of_each(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in left if r.doc_id is not None) == [(0, z), (1, x), (1, y)]
+    assert sorted(r.text.lower() for r in left if r.doc_id is None) == ["only here", x]
+    assert sorted(map(tuple, left), key=repr) == sorted(map(tuple, S.first_of_each(docs.repartition(5)).collect()), key=repr)
+
+
 def test_empty_table(spark):
     assert S.query(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import cut, spacing, word_blocks
+from tramlake.llm.common import cut, row_schema, spacing, texts_of, with_text, word_blocks
 
 SHINGLE, RADIUS, BLOCKS = 4, 4, 6
 #: Fingerprints in a tree.
@@ -275,16 +275,16 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
 
 
 def components_of(prints: DataFrame, tree: int = TREE) -> DataFrame:
-    """fp (distinct) and component_id, the smallest doc_id of its component, from doc_id and fp rows."""
+    """fp (distinct), low (its smallest doc_id), root (the least fp of its component) and component_id (the smallest doc_id of that), from doc_id and fp rows."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     joined = components(links(distinct.select("fp"), tree))
     members = joined.union(joined.select("root", "root").distinct()).withColumnsRenamed({"node": "fp"})
     linked = members.join(distinct, "fp")
     # The smallest ids of the components with links, written first so that a component of very many members can be split.
     lows = cut(linked.groupBy("root").agg(F.min("low").alias("least")))
-    named = linked.join(lows, "root").select("fp", "least", F.lit(True).alias("in_group"))
+    named = linked.join(lows, "root").select("fp", "root", "least", F.lit(True).alias("in_group"))
     own = F.when(F.col("in_group"), F.col("least")).otherwise(F.col("low"))
-    return distinct.join(named, "fp", "left").select("fp", own.alias("component_id"))
+    return distinct.join(named, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"), own.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, tree: int = TREE) -> DataFrame:
@@ -293,20 +293,48 @@ def near_duplicates(docs: DataFrame, tree: int = TREE) -> DataFrame:
     return prints.join(components_of(prints, tree), "fp").select("doc_id", "fp", "component_id")
 
 
+def with_print(docs: DataFrame) -> DataFrame:
+    """row (all columns) and fp of every row."""
+    rows = with_text(docs)
+
+    def printed(batches):
+        for batch in batches:
+            prints = np.array([fingerprint(x) for x in texts_of(batch)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(prints.view(np.int64))], names=["row", "fp"])
+
+    return rows.mapInArrow(printed, row_schema(rows, "fp bigint"))
+
+
+def one_row(rows: DataFrame, *keys: str) -> DataFrame:
+    """Of the rows with the same keys the one with the least hash; it does not depend on their order."""
+    return rows.groupBy(*keys).agg(F.min_by("row", F.struct("fp", F.xxhash64(F.to_json("row")), F.to_json("row"))).alias("row")).select("row.*")
+
+
 def first_of_each(docs: DataFrame, tree: int = TREE) -> DataFrame:
-    """The row with the smallest doc_id of each component, with all its columns. Of rows that share a doc_id one stays; rows
-    without a doc_id, which nothing could name, all stay."""
+    """A row of each component, with all its columns: that of (doc_id, fp, a hash of the row) that comes first. Of the rows of a
+    component that have no doc_id one stays too."""
     prints = cut(fingerprints(docs))
-    kept = components_of(prints, tree).select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct()
+    found = components_of(prints, tree)
+    kept = found.select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct()
     repeated = prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("__again_id")).count().where("count > 1").select("__again_id")
-    again = repeated.count()
-    if again:
-        kept, repeated = cut(kept), cut(repeated)
+    again, unnamed = repeated.count(), prints.where("doc_id is null").limit(1).count()
+    if again or unnamed:
+        found = cut(found)
+        kept = cut(found.select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct())
+    # An id that one row has names it.
     first = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
     if again:
+        repeated = cut(repeated)
         same = F.col("doc_id") == F.col("__again_id")
-        first = first.join(repeated, same, "left_anti").unionByName(first.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
-    return first.unionByName(docs.where("doc_id is null"))
+        # Others are named with their fingerprint: each component's first pair.
+        pairs = found.where("low is not null").groupBy("root").agg(F.min(F.struct("low", "fp")).alias("first"))
+        pairs = pairs.select(F.col("first.low").alias("__kept_id"), F.col("first.fp").alias("__kept_fp"))
+        rows = with_print(docs.join(repeated, same, "left_semi")).join(pairs, (F.col("row.doc_id") == F.col("__kept_id")) & (F.col("fp") == F.col("__kept_fp")), "left_semi")
+        first = first.join(repeated, same, "left_anti").unionByName(one_row(rows.withColumn("__id", F.col("row.doc_id")), "__id", "fp"))
+    if unnamed:
+        rows = with_print(docs.where("doc_id is null")).join(found.select("fp", F.col("root").alias("__root")), "fp")
+        first = first.unionByName(one_row(rows, "__root"))
+    return first
 
 
 def query(docs: DataFrame) -> DataFrame:
