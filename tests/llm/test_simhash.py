@@ -72,12 +72,12 @@ def test_tree_lookup_finds_every_link():
     assert (label == brute_labels(fps)).all()
 
 
-@pytest.mark.parametrize("tree", [S.TREE, 4])
-def test_shards_miss_no_link(spark, tree):
+@pytest.mark.parametrize(("tree", "most"), [(S.TREE, S.MOST), (4, S.MOST), (4, 3)])
+def test_shards_miss_no_link(spark, tree, most):
     # Fingerprints that share their first 32 bits, so that some shards hold most of them.
     fps = clusters(2) >> np.uint64(32)
     fps = np.unique(fps)
-    joined = S.components(S.links(spark.createDataFrame([(int(f),) for f in fps], "fp long"), tree)).collect()
+    joined = S.grouped(S.links(spark.createDataFrame([(int(f),) for f in fps], "fp long"), tree, most)).collect()
     root = {r.node: r.root for r in joined}
     got = [root.get(int(f), int(f)) for f in fps]
     want = brute_labels(fps)
@@ -85,38 +85,54 @@ def test_shards_miss_no_link(spark, tree):
     assert len({*zip(got, want.tolist(), strict=True)}) == len(set(got))
 
 
-def test_components_of_a_chain(spark):
+def test_groups_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "a long, b long")
-    assert {r.node: r.root for r in S.components(edges).collect() if r.node != r.root} == {**dict.fromkeys(range(1, 61), 0), 101: 100}
+    assert {r.node: r.root for r in S.grouped(edges).collect() if r.node != r.root} == {**dict.fromkeys(range(1, 61), 0), 101: 100}
 
 
 def test_masks_cover_every_pair_within_the_radius():
-    masks = [m & (1 << 64) - 1 for m in S.block_masks()]
-    rng = np.random.default_rng(3)
-    for _ in range(500):
-        x = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
-        assert any(not x & m for m in masks)
+    for blocks in (S.BLOCKS, 7, S.FINE):
+        masks = [m & (1 << 64) - 1 for m in S.block_masks(blocks)]
+        rng = np.random.default_rng(3)
+        for _ in range(500):
+            x = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+            assert any(not x & m for m in masks)
+    assert [S.blocks_for(n) for n in (0, 10**9, 10**11, 10**12)] == [6, 6, 7, 8]
 
 
 def test_one_of_each_group_stays(spark):
     docs = spark.createDataFrame([(i, t, 1) for i, t in ROWS], "doc_id long, text string, `a.b` int")
     left = S.first_of_each(docs)
     assert left.columns == docs.columns
-    want = {c for i, _, c in brute_components(ROWS) if i is not None}
-    got = [r.doc_id for r in left.collect()]
-    assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 2
+    # The copy without an id goes; what is in no group with an id stays.
+    assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted({c for _, _, c in brute_components(ROWS)}, key=repr)
 
 
-def test_one_of_each_group_stays_without_unique_ids(spark):
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
     x, y, z = (" ".join(f"{c}{k}" for k in range(300)) for c in "xyz")
-    # 1 has texts of two groups, and 2 one of a group whose first document is 0.
-    rows = [(1, x), (1, y), (1, y), (5, x), (6, y), (2, z), (2, x), (0, z), (None, "only here"), (None, "only here"), (None, "ONLY here"), (None, x), (None, x)]
+    near = x.replace("x150", "other")
+    # Three texts under one id; 1 has texts of two groups, and 2 one of a group whose first document is 0.
+    rows = [(5, x), (5, y), (5, z), (6, near), (1, z), (1, z), (2, z), (2, "short"), (0, "short"), (None, "only here"), (None, "only here"), (None, "ONLY here"), (None, x), (None, near)]
+    assert (brute_print(x) ^ brute_print(near)).bit_count() <= 4
     docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `a.b` int")
     left = S.first_of_each(docs).collect()
-    assert sorted((r.doc_id, r.text) for r in left if r.doc_id is not None) == [(0, z), (1, x), (1, y)]
-    assert sorted(r.text.lower() for r in left if r.doc_id is None) == ["only here", x]
+    assert sorted(((r.doc_id, r.text.lower()) for r in left), key=repr) == sorted([(5, x), (5, y), (1, z), (0, "short"), (None, "only here")], key=repr)
     assert sorted(map(tuple, left), key=repr) == sorted(map(tuple, S.first_of_each(docs.repartition(5)).collect()), key=repr)
 
 
+def test_of_equal_rows_one_stays(spark):
+    rows = [(1, "a b c", {"k": 1}, 7)] * 40 + [(None, None, None, None)] * 3 + [(2, "d e f", None, None)]
+    left = S.first_of_each(spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, hash int")).collect()
+    assert sorted(((r.doc_id, r.text, r.m, r.hash) for r in left), key=repr) == sorted([rows[0], rows[-2], rows[-1]], key=repr)
+
+
+def test_hot_fingerprints_are_not_shuffled(spark, monkeypatch):
+    rows = [(k, "same text here") for k in range(900)] + [(1000 + k, f"text number {k} of its own") for k in range(300)]
+    monkeypatch.setattr(S, "HOT", 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in S.near_duplicates(docs).collect()]
+    assert sorted(got, key=repr) == brute_components(rows)
+
+
 def test_empty_table(spark):
     assert S.query(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -1,17 +1,21 @@
 """Near duplicates by SimHash: BK-trees over shards of the distinct fingerprints.
 
 1. One map computes each document's fingerprint; equal fingerprints fold into one row with their smallest doc_id.
-2. Two fingerprints within RADIUS bits agree on at least BLOCKS - RADIUS of BLOCKS bit blocks, so every pair to be linked
-   meets in a shard of one of the choices of that many blocks. A fingerprint goes to 15 shards of some 21 bits each.
+2. Two fingerprints within RADIUS bits agree on at least n - RADIUS of n bit blocks, so every pair to be linked meets in a shard of
+   one of the choices of that many blocks. Six blocks make 15 shards of some 21 bits for each fingerprint; n grows with the number of
+   fingerprints, so that a shard's expected size stays below one tree.
 3. A task walks its shards in order, builds their BK-trees (a child hangs from its parent by their integer Hamming distance)
    and looks every fingerprint up in its shard's tree, following only the edges whose distance the triangle inequality allows.
    It keeps a spanning star of each linked group, never the pairs.
-4. A shard with more than TREE fingerprints is cut into trees of at most TREE. Each tree goes to the units that look up
+4. The fingerprints of a shard that would be more than MOST trees are dealt again, by FINE blocks: 210 shards of some 38 bits.
+   A shard with more than TREE fingerprints is cut into trees of at most TREE. Each tree goes to the units that look up
    one tree's fingerprints in another (or in itself), so no task holds more than two trees however large the shard is.
-5. The stars are joined into components by alternating large-star and small-star steps until nothing changes.
+5. The stars are joined into groups by alternating large-star and small-star steps until nothing changes.
+6. Fingerprints that more than one in HOT rows have, of which there are fewer than HOT, are joined to their rows by broadcast;
+   only the others are shuffled by fingerprint.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are linked like any other; repeated rows and exact copies
-share a fingerprint and so a component; null doc_ids take part, a component of nothing else has a null id; other columns are ignored.
+share a fingerprint and so a group; null doc_ids take part, a group of nothing else has a null id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,13 +25,17 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tramlake.llm.common import cut, row_schema, spacing, texts_of, with_text, word_blocks
+from tramlake.llm.common import as_bytes, cut, spacing, whole_row, word_blocks
 
-SHINGLE, RADIUS, BLOCKS = 4, 4, 6
-#: Fingerprints in a tree.
-TREE = 8192
+SHINGLE, RADIUS = 4, 4
+#: Least number of blocks, and that of crowded shards.
+BLOCKS, FINE = 6, 10
+#: Fingerprints in a tree, and trees of a shard from which on it is crowded.
+TREE, MOST = 8192, 32
+#: A fingerprint is hot if more than one in so many rows have it.
+HOT = 1000
 #: (query, node) pairs that a lookup holds at once.
 PAIRS = 1 << 19
 #: Linked pairs in a partition.
@@ -54,16 +62,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, **more: Column) -> DataFrame:
+    """doc_id, the columns `more`, and fp, the fingerprint as a signed long."""
+    kept = docs.select("doc_id", *(c.alias(name) for name, c in more.items()), as_bytes("text").alias("text"))
 
     def printed(batches):
         for batch in batches:
             prints = np.array([fingerprint(x) for x in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))], names=[*batch.schema.names[:-1], "fp"])
 
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).mapInArrow(printed, f"doc_id {kind}, fp bigint")
+    return kept.mapInArrow(printed, T.StructType([*kept.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
 
 def block_masks(blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
@@ -233,27 +241,47 @@ def in_units(batches):
         yield close([np.concatenate(x) for x in zip(*held, strict=True)])
 
 
-def links(distinct: DataFrame, tree: int = TREE) -> DataFrame:
-    """Stars (a, b) that join all distinct fingerprints (column fp) within RADIUS bits of each other."""
-    masks = F.explode(F.array(*map(F.lit, block_masks())))
+def blocks_for(n: int, tree: int = TREE, radius: int = RADIUS) -> int:
+    """The least number of blocks by which n evenly spread fingerprints make shards of a quarter of a tree at most."""
+    return next(b for b in range(BLOCKS, 65) if n >> 64 * (b - radius) // b <= tree // 4 or b == 16)
+
+
+def walked(distinct: DataFrame, blocks: int, tree: int) -> tuple[DataFrame, DataFrame]:
+    """Stars (a, b) of the shards of up to `tree` fingerprints, and the rows of larger ones: shard, mask, fp, own (number of the tree)."""
+    masks = F.explode(F.array(*map(F.lit, block_masks(blocks))))
     keyed = distinct.select("fp", masks.alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("shard"))
     keyed = keyed.repartition("mask", "shard").sortWithinPartitions("mask", "shard")
-    walked = cut(keyed.mapInArrow(lambda batches: in_shards(batches, tree), "kind int, a bigint, b bigint, mask bigint, place bigint"))
-    found = walked.where("kind = 0").select("a", "b")
-    large = walked.where("kind = 1").select(F.col("b").alias("shard"), "mask", F.col("a").alias("fp"), F.floor(F.col("place") / tree).alias("own"))
-    last = large.groupBy("shard", "mask").agg(F.max("own").alias("last"))
-    units = large.join(last, ["shard", "mask"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+    rows = cut(keyed.mapInArrow(lambda batches: in_shards(batches, tree), "kind int, a bigint, b bigint, mask bigint, place bigint"))
+    large = rows.where("kind = 1").select(F.col("b").alias("shard"), "mask", F.col("a").alias("fp"), F.floor(F.col("place") / tree).alias("own"))
+    return rows.where("kind = 0").select("a", "b"), large
+
+
+def paired(large: DataFrame) -> DataFrame:
+    """Stars (a, b) of shards of several trees, from rows with `last`, the number of the shard's last tree."""
+    units = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
     units = units.select(
         "shard", "mask", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") <= F.col("other")).alias("tree"), (F.col("own") >= F.col("other")).alias("ask"),
     )
     order = ["shard", "mask", "i", "j"]
-    more = units.repartition(*order).sortWithinPartitions(*order).mapInArrow(in_units, "a bigint, b bigint")
-    return found.union(more).distinct()
+    return units.repartition(*order).sortWithinPartitions(*order).mapInArrow(in_units, "a bigint, b bigint")
 
 
-def components(edges: DataFrame, most: int = 50) -> DataFrame:
-    """(a, b) pairs of longs to (node, root): root is the least node of the component; only nodes with a pair are listed."""
+def links(distinct: DataFrame, tree: int = TREE, most: int = MOST) -> DataFrame:
+    """Stars (a, b) that join all distinct fingerprints (column fp) within RADIUS bits of each other."""
+    numbered = lambda large: large.join(large.groupBy("shard", "mask").agg(F.max("own").alias("last")), ["shard", "mask"])
+    found, large = walked(distinct, blocks_for(distinct.count(), tree), tree)
+    large = numbered(large)
+    found = found.union(paired(large.where(F.col("last") < most)))
+    crowded = large.where(F.col("last") >= most).select("fp").distinct()
+    if not crowded.isEmpty():
+        fine, large = walked(crowded, FINE, tree)
+        found = found.union(fine).union(paired(numbered(large)))
+    return found.distinct()
+
+
+def grouped(edges: DataFrame, most: int = 50) -> DataFrame:
+    """(a, b) pairs of longs to (node, root): root is the least node of the group; only nodes with a pair are listed."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     seen, parts = None, edges.count() // EDGES + 1  # a step never makes more pairs
     for _ in range(most):
@@ -271,70 +299,61 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = now
-    raise RuntimeError("components did not settle")
+    raise RuntimeError("groups did not settle")
 
 
-def components_of(prints: DataFrame, tree: int = TREE) -> DataFrame:
-    """fp (distinct), low (its smallest doc_id), root (the least fp of its component) and component_id (the smallest doc_id of that), from doc_id and fp rows."""
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    joined = components(links(distinct.select("fp"), tree))
+def groups_of(prints: DataFrame, tree: int = TREE) -> DataFrame:
+    """One row a fingerprint, from rows with doc_id and fp: fp, n (its rows), first (the least of `first` of its rows, if they have it),
+    root (the least fp of its group) and component_id (the group's smallest doc_id)."""
+    first = [F.min("first").alias("first")] if "first" in prints.columns else []
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), *first))
+    joined = grouped(links(distinct.select("fp"), tree))
     members = joined.union(joined.select("root", "root").distinct()).withColumnsRenamed({"node": "fp"})
     linked = members.join(distinct, "fp")
-    # The smallest ids of the components with links, written first so that a component of very many members can be split.
+    # The smallest ids of the groups with links, written first so that a group of very many members can be split.
     lows = cut(linked.groupBy("root").agg(F.min("low").alias("least")))
     named = linked.join(lows, "root").select("fp", "root", "least", F.lit(True).alias("in_group"))
     own = F.when(F.col("in_group"), F.col("least")).otherwise(F.col("low"))
-    return distinct.join(named, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"), own.alias("component_id"))
+    return distinct.join(named, "fp", "left").select("fp", "n", *(["first"] if first else []), F.coalesce("root", "fp").alias("root"), own.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, tree: int = TREE) -> DataFrame:
     """doc_id, fp (signed long) and component_id of every row."""
     prints = cut(fingerprints(docs))
-    return prints.join(components_of(prints, tree), "fp").select("doc_id", "fp", "component_id")
+    found = cut(groups_of(prints, tree).select("fp", "n", "component_id"))
+    limit = prints.count() / HOT
+    # Fewer than HOT fingerprints can have more than one in HOT rows.
+    hot = F.broadcast(found.where(F.col("n") > limit).select("fp", "component_id", F.lit(True).alias("hot")))
+    rows = prints.join(hot, "fp", "left")
+    others = rows.where("hot IS NULL").select("fp", "doc_id").join(found.where(F.col("n") <= limit), "fp")
+    return rows.where("hot").select("doc_id", "fp", "component_id").union(others.select("doc_id", "fp", "component_id"))
 
 
-def with_print(docs: DataFrame) -> DataFrame:
-    """row (all columns) and fp of every row."""
-    rows = with_text(docs)
-
-    def printed(batches):
-        for batch in batches:
-            prints = np.array([fingerprint(x) for x in texts_of(batch)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(prints.view(np.int64))], names=["row", "fp"])
-
-    return rows.mapInArrow(printed, row_schema(rows, "fp bigint"))
-
-
-def one_row(rows: DataFrame, *keys: str) -> DataFrame:
-    """Of the rows with the same keys the one with the least hash; it does not depend on their order."""
-    return rows.groupBy(*keys).agg(F.min_by("row", F.struct("fp", F.xxhash64(F.to_json("row")), F.to_json("row"))).alias("row")).select("row.*")
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row, its nulls included."""
+    plain = [c if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType) else F.to_json(F.struct(c)) for f in docs.schema.fields for c in [F.col(f"`{f.name}`")]]
+    return F.xxhash64(*plain, *(F.isnull(F.col(f"`{c}`")) for c in docs.columns))
 
 
 def first_of_each(docs: DataFrame, tree: int = TREE) -> DataFrame:
-    """A row of each component, with all its columns: that of (doc_id, fp, a hash of the row) that comes first. Of the rows of a
-    component that have no doc_id one stays too."""
-    prints = cut(fingerprints(docs))
-    found = components_of(prints, tree)
-    kept = found.select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct()
-    repeated = prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("__again_id")).count().where("count > 1").select("__again_id")
-    again, unnamed = repeated.count(), prints.where("doc_id is null").limit(1).count()
-    if again or unnamed:
-        found = cut(found)
-        kept = cut(found.select(F.col("component_id").alias("__kept_id")).where("__kept_id is not null").distinct())
-    # An id that one row has names it.
-    first = docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    if again:
-        repeated = cut(repeated)
-        same = F.col("doc_id") == F.col("__again_id")
-        # Others are named with their fingerprint: each component's first pair.
-        pairs = found.where("low is not null").groupBy("root").agg(F.min(F.struct("low", "fp")).alias("first"))
-        pairs = pairs.select(F.col("first.low").alias("__kept_id"), F.col("first.fp").alias("__kept_fp"))
-        rows = with_print(docs.join(repeated, same, "left_semi")).join(pairs, (F.col("row.doc_id") == F.col("__kept_id")) & (F.col("fp") == F.col("__kept_fp")), "left_semi")
-        first = first.join(repeated, same, "left_anti").unionByName(one_row(rows.withColumn("__id", F.col("row.doc_id")), "__id", "fp"))
-    if unnamed:
-        rows = with_print(docs.where("doc_id is null")).join(found.select("fp", F.col("root").alias("__root")), "fp")
-        first = first.unionByName(one_row(rows, "__root"))
-    return first
+    """One row of each group, with all its columns: the first by (doc_id, nulls last; fingerprint; hash of the row).
+
+    A row is known by its doc_id and hash, so rows that share a doc_id or have none are judged one by one; of rows that are equal in
+    every column one stays.
+    """
+    prints = cut(fingerprints(docs, hash=row_hash(docs))).withColumn("first", F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "hash"))
+    found = groups_of(prints, tree)
+    first = found.groupBy("root").agg(F.min(F.struct("first.unnamed", "first.doc_id", "fp", "first.hash")).alias("f"))
+    kept = cut(first.select(F.col("f.doc_id").alias("kept_id"), F.col("f.hash").alias("kept_hash")))
+    equal = cut(prints.groupBy(F.col("doc_id").alias("equal_id"), F.col("hash").alias("equal_hash")).agg(F.count("*").alias("n")).where("n > 1"))
+    repeated = F.col("kept_id").eqNullSafe(F.col("equal_id")) & (F.col("kept_hash") == F.col("equal_hash"))
+    rows = docs.select(whole_row(docs), F.col("doc_id").alias("id"), row_hash(docs).alias("hash"))
+    same = lambda name: F.col("id").eqNullSafe(F.col(f"{name}_id")) & (F.col("hash") == F.col(f"{name}_hash"))
+    # Rows that more than one in HOT rows repeat, of which there are fewer than HOT, needn't be shuffled to find that they aren't single.
+    hot = F.broadcast(equal.where(F.col("n") > prints.count() / HOT).drop("n"))
+    single = rows.join(hot, same("equal"), "left_anti").join(kept.join(equal, repeated, "left_anti"), same("kept"), "left_semi")
+    several = rows.join(kept.join(equal, repeated, "left_semi"), same("kept"), "left_semi").dropDuplicates(["id", "hash"])
+    return single.union(several).select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:
