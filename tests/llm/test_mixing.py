@@ -57,21 +57,46 @@ def test_repeated_rows_and_empty_tables(spark):
     assert {r.target for r in M.query(docs.where("doc_id = 2")).collect()} == {0.0}
 
 
+def test_order_is_that_of_words_by_virtual_time(spark):
+    """Against the words themselves, one by one: each has a virtual time, and the first of them up to the budget are taken."""
+    rows = [(k, "abc"[k % 3], "w " * (k * 7 % 11)) for k in range(60)] + [(100, "d", "x y z"), (101, "e", "v " * 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    copies = M.served(docs).collect()
+    words = sorted(((r.start + k + 1) / r.weight, r.source, r.doc_id) for r in copies for k in range(r.size))
+    budget = int(1.5 * sum(len(t.split()) for _, _, t in rows))
+    taken = defaultdict(int)
+    for _, source, _ in words[:budget]:
+        taken[source] += 1
+    got = defaultdict(int)
+    for r in copies:
+        got[r.source] += r.taken
+    assert all(abs(got[s] - taken[s]) <= 1 for s in "abcde") and budget - 5 <= sum(got.values()) <= budget
+
+
 def test_training_order_follows_virtual_time(spark):
     docs = spark.createDataFrame([(k, "ab"[k % 2], "w w w") for k in range(50)], "doc_id long, source string, text string")
-    out = [r.virtual_finish for r in M.training_order(M.mix(docs)).collect()]
+    out = [r.virtual_finish for r in M.training_order(docs).collect()]
     assert out == sorted(out) and out
 
 
-def test_training_order_has_every_copy(spark, sf):
-    mixed = M.mix(spark.read.parquet(f"{sf}/documents.parquet")).cache()
-    out = M.training_order(mixed).collect()
+def test_training_order_has_every_copy(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    mixed = M.mix(docs).collect()
+    monkeypatch.setattr(M, "ROWS", 10)  # more digits and ranges change nothing
+    out = M.training_order(docs).collect()
     assert [r.virtual_finish for r in out] == sorted(r.virtual_finish for r in out)
-    taken, upto = defaultdict(int), defaultdict(int)
+    taken, upto, copies = defaultdict(int), defaultdict(int), defaultdict(list)
     for r in out:
         taken[r.doc_id] += r.taken
+        copies[r.doc_id].append((r.virtual_finish, r.taken))
         assert r.start == upto[r.source] and r.virtual_finish == (r.start + r.taken) / r.weight
         upto[r.source] += r.taken
-    assert {r.doc_id: r.taken for r in mixed.collect() if r.taken} == taken
+    assert {r.doc_id: r.taken for r in mixed if r.taken} == taken
+    assert {r.doc_id: [tuple(c) for c in r.copies] for r in mixed if r.copies} == copies
     assert all(upto[r.source] == int(r.target) for r in out) and any(r.copy == 1 for r in out)
     assert max(r.virtual_finish for r in out) <= max(r.target / r.weight for r in out)
+
+
+def test_plan_is_native(spark, sf):
+    plan = M.query(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
