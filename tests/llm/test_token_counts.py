@@ -1,4 +1,5 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -7,6 +8,7 @@ from tramlake.llm import token_counts as T
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
+SPECIAL = T.loaded(open(PATH, "rb").read())[1]
 ODD = [
     "", " ", "a\x1cb c\x85d e f ́x  é <|endoftext|>a<|startoftext|> <|ENDOFTEXT|>'s'S don't\x0b\x0cq", "ΑΣ ΑΣ. ΣΑΣ İi ﬃ \x01 12 3a4 日本 語　x",
     "<|endoftext|>", "x" * 5000, "à́ ́̀ b", "﻿ a​b", "½²³ ١٢", "it's we'll I'D\n\n\ty",
@@ -17,21 +19,52 @@ def library(text):
     return len(LIBRARY.encode(text, add_special_tokens=False))
 
 
+def counts(texts):
+    """Tokens of each text by block(), without Spark."""
+    tokens, entries, begin = T.block(pa.array(texts, pa.string()), T.Splitter(LIBRARY, SPECIAL))
+    n = [T.pieces(LIBRARY, t) for t in tokens]
+    return [sum(n[e >> T.SHIFT] * (e & (1 << T.SHIFT) - 1) for e in entries[a:b].tolist()) for a, b in zip(begin, begin[1:], strict=False)]
+
+
 def test_odd_texts_as_the_library_counts_them():
-    assert T.counts(LIBRARY, [t.encode() for t in ODD], {}) == [library(t) for t in ODD]
+    assert counts(ODD) == [library(t) for t in ODD]
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \t\n\r\x0b\x0c'<|>aé")), max_size=60))
 def test_any_text_as_the_library_counts_it(text):
-    assert T.counts(LIBRARY, [text.encode()], {}) == [library(text)]
+    assert counts([text, "", text + " " + text]) == [library(text), 0, library(text + " " + text)]
 
 
-def test_bounded_memory_changes_nothing(monkeypatch):
-    texts = [f"w{k} w{k % 7} some words {'long' * 30}" for k in range(200)]
+def test_high_frequencies_and_bounded_memory_change_nothing(monkeypatch):
+    texts = [f"w{k} w{k % 7} some words {'long' * 30}" for k in range(200)] + ["a b " * 5000]
+    want = [library(t) for t in texts]
     monkeypatch.setattr(T, "KEPT", 10)
-    monkeypatch.setattr(T, "BLOCK_TEXT", 300)
-    assert T.counts(LIBRARY, [t.encode() for t in texts], {}) == [library(t) for t in texts]
+    assert counts(texts) == want
+    monkeypatch.setattr(T, "SHIFT", 5)
+    assert counts(texts) == want
+
+
+def test_a_pre_token_is_one_entry_of_a_text():
+    _, entries, begin = T.block(pa.array(["it's it's, it", "", "it"]), T.Splitter(LIBRARY, SPECIAL))
+    assert begin.tolist() == [0, 3, 3, 4] and sorted(e & (1 << T.SHIFT) - 1 for e in entries.tolist()) == [1, 1, 2, 3]
+
+
+def test_tokenizers_that_carry_white_space_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="white space"):
+        T.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_blocks_change_nothing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert sorted(T.count_tokens(docs, path, block_text=3000).collect()) == sorted(T.count_tokens(docs, path).collect())
+
+
+def test_plan_joins_pre_tokens_and_counts_each_once(spark, sf):
+    plan = T.query(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" in plan
 
 
 def test_query(spark, sf):

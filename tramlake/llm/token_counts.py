@@ -1,85 +1,197 @@
 """Token counts of whole texts without materialising token ids.
 
-A piece never crosses white space, whatever the tokenizer does between white spaces: both its normalizer and its splitting
-pattern work on each run by itself. So a text is a bag of runs; the pieces of each distinct run are counted once by the
-library, special strings included, and joined to the documents' run frequencies. The join happens inside the task, block by
-block, against a bounded table of runs already counted: nothing is shuffled and no token id outlives its count.
+The library makes tokens of a text in two steps: normalizer and splitting pattern make pre-tokens, and its model cuts each
+pre-token into pieces by itself. So a text's count is the sum over its distinct pre-tokens of frequency times pieces:
 
-Defined cases: null counts as empty text (0 bytes, 0 tokens); a text without white space is one run; repeated rows are counted
-alike; columns other than the id and the text are ignored.
+1. One map cuts the documents into blocks of up to BLOCK_TEXT bytes. A block is a row: its distinct pre-tokens, and of each document the
+   frequencies of its pre-tokens, by their place in that list. Pre-tokens never cross white space, so texts are split there by Arrow and
+   the library splits only the runs that are new to a task. The blocks are written once.
+2. The distinct pre-tokens of all blocks (combined before the shuffle) go through the library's model, each once.
+3. Their pieces are joined back to the blocks' lists, which are a small part of the text: a pre-token is a row a block, however often it
+   occurs in it. The pieces are put in the order of each list, joined to the block, and summed over the documents' frequencies.
+
+Nothing is shuffled that has a row a document and pre-token, and no token id is made.
+
+Defined cases: null counts as empty text (0 bytes, 0 tokens); a text without white space is one run; a text longer than a block is a block of
+its own; the library's special strings are one pre-token together with the run that they are in; repeated rows are counted alike; columns
+other than the id and the text are ignored; a tokenizer whose pre-tokens cross white space, or whose pieces depend on it, is refused.
 """
 
 from __future__ import annotations
 
+import json
 import os
-from collections import Counter
-from math import sumprod
+from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from tramlake.llm.common import as_bytes, shared_dir
+
 LIMIT = 2048
 #: The tokenizer file goes to the executors whole; one that is larger than this is refused.
 FILE_BYTES = 64 << 20
-#: Bytes of text whose frequencies stand in memory together; runs kept between blocks, and the longest run that is kept.
-BLOCK_TEXT, KEPT, KEPT_BYTES = 2 << 20, 300_000, 48
-
-
-def pieces_of(tokenizer, runs: list[bytes], at_once: int = 20_000) -> list[int]:
-    """Number of tokens of each run."""
-    out = []
-    for k in range(0, len(runs), at_once):
-        out += map(len, tokenizer.encode_batch_fast([r.decode() for r in runs[k : k + at_once]], add_special_tokens=False))
-    return out
-
-
-def counts(tokenizer, texts: list[bytes], pieces: dict[bytes, int]) -> list[int]:
-    """Tokens of each text; `pieces` has the runs counted before and gets the new ones, in bounded number."""
+#: Bytes of text in a block; runs whose pre-tokens a task keeps, and the longest run that it keeps.
+BLOCK_TEXT, KEPT, KEPT_BYTES = 8 << 20, 300_000, 48
+#: A frequency entry is place << SHIFT | frequency; a higher frequency takes several entries.
+SHIFT = 20
+#: What is in front of a run that holds a special string, in the place of a pre-token.
+WHOLE = "\x00"
+#: Texts that a tokenizer must count as the sum over what lies between white space.
+PROBES = ("a b", " a", "a ", "word  word\tA \n B", "don't x12 é́ 日本 語", "( a ) ...\r\n\x0b\x0cq", "the quick Brown fox, 3.14 <x> it's", " a 　 b")
+
+
+def loaded(data: bytes):
+    """The tokenizer of a file's bytes, without truncation and padding, and its special strings."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_buffer(data)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer, [t["content"] for t in json.loads(data).get("added_tokens") or []]
+
+
+def pre_tokens(tokenizer, special: list[str], run: str) -> list[str]:
+    """The pre-tokens of a text without white space, as the library's model gets them."""
+    if any(s in run for s in special):
+        return [WHOLE + run]
+    if tokenizer.normalizer:
+        run = tokenizer.normalizer.normalize_str(run)
+    if not tokenizer.pre_tokenizer:
+        return [run] if run else []
+    return [t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(run)]
+
+
+def pieces(tokenizer, token: str) -> int:
+    """The number of a pre-token's pieces."""
+    if token.startswith(WHOLE):
+        return len(tokenizer.encode(token.removeprefix(WHOLE), add_special_tokens=False))
+    return len(tokenizer.model.tokenize(token))
+
+
+def check(tokenizer, special: list[str]) -> None:
+    for text in PROBES:
+        parts = sum(pieces(tokenizer, t) for run in text.encode().split() for t in pre_tokens(tokenizer, special, run.decode()))
+        if parts != len(tokenizer.encode(text, add_special_tokens=False)):
+            raise ValueError("the tokenizer's pieces depend on white space: texts can't be counted by pre-tokens")
+
+
+class Splitter:
+    """Pre-tokens of runs, kept for the runs that came before."""
+
+    def __init__(self, tokenizer, special: list[str]):
+        self.tokenizer, self.special, self.kept = tokenizer, special, {}
+
+    def __call__(self, runs: list[str]) -> list[list[str]]:
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        out = []
+        for run in runs:
+            found = self.kept.get(run)
+            if found is None:
+                found = pre_tokens(self.tokenizer, self.special, run)
+                if len(run) <= KEPT_BYTES:
+                    self.kept[run] = found
+            out.append(found)
+        return out
+
+
+def block(texts: pa.Array, split: Splitter) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct pre-tokens of texts, the frequency entries of all texts one after the other, and where each text's begin."""
+    words = pc.ascii_split_whitespace(texts)
+    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = pc.dictionary_encode(words.flatten())
+    runs = coded.dictionary.to_pylist()
+    tokens: dict[str, int] = {}
+    found = [[tokens.setdefault(t, len(tokens)) for t in own] for own in split(runs)]
+    width = np.array([len(f) for f in found], np.int64)
+    first = np.cumsum(width) - width
+    flat = np.fromiter((k for f in found for k in f), np.int64, int(width.sum()))
+    run, text = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(texts)), sizes)
+    # Runs of a text are counted before they are replaced by their pre-tokens, which are then counted again.
+    key, n = np.unique(text * max(1, len(runs)) + run, return_counts=True)
+    text, run = key // max(1, len(runs)), key % max(1, len(runs))
+    own = np.repeat(np.arange(len(run)), width[run])
+    at = np.arange(len(own)) - np.repeat(np.cumsum(width[run]) - width[run], width[run]) + first[run][own]
+    key, back = np.unique(text[own] * max(1, len(tokens)) + flat[at], return_inverse=True)
+    n = np.bincount(back, n[own], len(key)).astype(np.int64)
+    text, place = key // max(1, len(tokens)), key % max(1, len(tokens))
+    most = (1 << SHIFT) - 1
+    times = -(-n // most)
+    if (times > 1).any():
+        own = np.repeat(np.arange(len(n)), times)
+        number = np.arange(len(own)) - np.repeat(np.cumsum(times) - times, times)
+        text, place, n = text[own], place[own], np.minimum(most, n[own] - number * most)
+    return [*tokens], place << SHIFT | n, np.searchsorted(text, np.arange(len(texts) + 1))
+
+
+def cuts(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of consecutive texts of up to `limit` bytes together; a longer text is alone."""
     out, at = [], 0
-    while at < len(texts):
-        bags, size = [], 0
-        while at < len(texts) and (not bags or size + len(texts[at]) <= BLOCK_TEXT):
-            bags.append(Counter(texts[at].split()))
-            size += len(texts[at])
-            at += 1
-        new = [*set().union(*bags).difference(pieces)]
-        found = dict(zip(new, pieces_of(tokenizer, new), strict=True))
-        pieces |= found
-        out += [sumprod(map(pieces.__getitem__, bag), bag.values()) for bag in bags]
-        if len(pieces) > KEPT:
-            pieces.clear()
-        else:
-            for run in new:
-                if len(run) > KEPT_BYTES:
-                    del pieces[run]
+    while at < len(sizes):
+        stop, total = at + 1, int(sizes[at])
+        while stop < len(sizes) and total + sizes[stop] <= limit:
+            total += int(sizes[stop])
+            stop += 1
+        out.append((at, stop))
+        at = stop
     return out
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
+def blocks(docs: DataFrame, shared, block_text: int) -> DataFrame:
+    """A row a block: block (its name), vocabulary (its distinct pre-tokens) and docs (doc_id, n_bytes and entries of each document)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def cut_up(batches):
+        split = Splitter(*loaded(shared.value))
+        for batch in batches:
+            texts = batch.column("text")
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            try:
+                texts = texts.cast(pa.string())
+            except pa.ArrowInvalid:  # bytes that are no UTF-8
+                texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+            for a, b in cuts(sizes, block_text):
+                tokens, entries, begin = block(texts.slice(a, b - a), split)
+                listed = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(entries, pa.int64()))
+                rows = pa.StructArray.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(sizes[a:b], pa.int64()), listed], names=["doc_id", "n_bytes", "entries"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid4().hex]), pa.array([tokens], pa.list_(pa.string())), pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), rows)], names=["block", "vocabulary", "docs"]
+                )
+
+    texts = docs.select("doc_id", as_bytes("text").alias("text"))
+    return texts.mapInArrow(cut_up, f"block string, vocabulary array<string>, docs array<struct<doc_id:{kind},n_bytes:bigint,entries:array<bigint>>>")
+
+
+def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_text: int = BLOCK_TEXT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of docs; path: a file of the `tokenizers` library."""
+    spark = docs.sparkSession
     if (size := os.path.getsize(path)) > FILE_BYTES:
         raise ValueError(f"{path} has {size} bytes; the limit is {FILE_BYTES}")
     with open(path, "rb") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        data = file.read()
+    check(*loaded(data))
+    shared = spark.sparkContext.broadcast(data)
 
     def counted(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_buffer(shared.value)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        pieces: dict[bytes, int] = {}
+        tokenizer, _ = loaded(shared.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array(counts(tokenizer, texts, pieces), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"]
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    out = texts.mapInArrow(counted, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+            n = [pieces(tokenizer, t) for t in batch.column("token").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("token"), pa.array(n, pa.int64())], names=["token", "pieces"])
+
+    # A table and not a checkpoint: its integers take a third of the room.
+    folder = f"{shared_dir(spark)}/tokens-{uuid4().hex}"
+    blocks(docs, shared, block_text).write.parquet(folder)
+    held = spark.read.parquet(folder)
+    listed = held.select("block", F.posexplode("vocabulary").alias("place", "token"))
+    known = listed.select("token").distinct().mapInArrow(counted, "token string, pieces bigint")
+    found = listed.join(known, "token").groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "pieces"))), lambda x: x["pieces"]).alias("pieces"))
+    total = lambda entries: F.aggregate(entries, F.lit(0).cast("long"), lambda s, e: s + F.get("pieces", F.shiftright(e, SHIFT).cast("int")) * e.bitwiseAND((1 << SHIFT) - 1))
+    rows = held.select("block", "docs").join(found, "block", "left").select(F.transform("docs", lambda d: F.struct(d["doc_id"], d["n_bytes"], total(d["entries"]).alias("n_tokens"))).alias("docs"))
+    return rows.select(F.inline("docs")).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def query(docs: DataFrame) -> DataFrame:
