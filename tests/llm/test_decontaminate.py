@@ -63,6 +63,16 @@ def test_longest_match_and_place(spark):
     assert [tuple(x) for x in r.spans] == [(2, 42)]
 
 
+def test_one_map_whatever_the_number_of_blocks(spark):
+    docs, items = table(spark, DOCS, "doc_id"), table(spark, ITEMS, "item_id")
+    assert sum(1 for _ in D.query_blocks(items, 60)) > 3
+    for block in (D.BLOCK_TEXT, 60):
+        out = D.find(docs, items, ["doc_id"], block, 100, 200)
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        got = [(r.row.doc_id, r.n_words, r.n_hit, len(r.items), sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in out.collect()]
+        assert sorted(got, key=repr) == brute(DOCS, ITEMS)
+
+
 def test_remove_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, LONG, 1, 2, 3), (2, "clean", 4, 5, 6)], "doc_id long, text string, spans int, row int, `n.words` int")
     left = D.remove(docs, table(spark, ITEMS, "item_id"))

@@ -6,8 +6,9 @@ of them at once: the interval that is left after a window's length holds the win
 not empty holds the longest verbatim matches. The shard's array leaves out suffixes that start in a run of benchmark words
 too short for any window; no search could end there.
 
-The benchmark is the stated query set. It goes to the executors in blocks of at most BLOCK_TEXT bytes, and the documents pass
-through one map a block: nothing is shuffled, and a larger benchmark costs more passes, not more memory.
+The benchmark is the stated query set. It is indexed and broadcast in blocks of at most BLOCK_TEXT bytes, one after the other, so the
+driver holds one index. The documents pass through one map, which holds up to GROUP_TEXT bytes of them, at least a batch, and one
+block's index at a time: nothing is shuffled, and a larger benchmark costs more time, not more memory.
 
 Defined cases: null, empty and separator-only texts have no words and are never contaminated; items without words hit nothing;
 repeated items count once by item_id (a null item_id is the empty string); every repeated document row is judged by itself.
@@ -21,13 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tramlake.llm.common import spacing, texts_of, with_text, word_blocks
+from pyspark.sql.pandas.types import to_arrow_type
+
+from tramlake.llm.common import row_schema, spacing, texts_of, with_text, word_blocks
 
 WINDOW = 13
 #: A document is contaminated if it has a hit word and at least one word in so many is hit.
 ONE_IN = 20
 #: Bytes of benchmark text in a block, and of document text in a shard.
 BLOCK_TEXT, SHARD_TEXT = 8 << 20, 8 << 20
+#: Bytes of document text that a task holds for all blocks, where there are several.
+GROUP_TEXT = 64 << 20
 
 #: Separators of the contract's words: all of ASCII but digits and letters.
 TABLE = spacing(b for b in range(128) if not chr(b).isalnum())
@@ -208,31 +213,50 @@ def query_blocks(benchmark: DataFrame, limit: int = BLOCK_TEXT):
         yield index_queries(now)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, block_text: int = BLOCK_TEXT, shard_text: int = SHARD_TEXT) -> DataFrame:
+def grouped(batches, limit: int):
+    """Batches, with their texts, in lists of up to `limit` bytes of text, of one at least."""
+    held, size = [], 0
+    for batch in batches:
+        texts = texts_of(batch)
+        n = sum(map(len, texts))
+        if held and size + n > limit:
+            yield held
+            held, size = [], 0
+        held.append((batch, texts))
+        size += n
+    if held:
+        yield held
+
+
+def longer(a: dict | None, b: dict | None) -> dict | None:
+    """The longer match; of equal ones the earlier in the text."""
+    return max((x for x in (a, b) if x), key=lambda x: (x["words"], -x["at"]), default=None)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, block_text: int = BLOCK_TEXT, shard_text: int = SHARD_TEXT, group_text: int = GROUP_TEXT) -> DataFrame:
     """A row a document: row (struct of the columns `keep`), n_words, spans (hit word ranges, apart), items, longest match
     (words, item, at which word), contaminated."""
-    spark = docs.sparkSession
-    out = with_text(docs, keep).select(
-        "*", F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"), F.lit(None).cast(LONGEST).alias("longest"),
-    )
-    for q in [*query_blocks(benchmark, block_text)] or [index_queries([])]:
-        shared = spark.sparkContext.broadcast(q)
-
-        def scanned(batches, shared=shared):
-            for batch in batches:
-                q = shared.value
-                got = [x for part in shards(texts_of(batch), shard_text) for x in scan(q, part)]
-                cols = {name: batch.column(name) for name in batch.schema.names}
-                for k, name in ((1, "spans"), (2, "items")):
-                    kind = batch.schema.field(name).type
-                    cols[name] = pa.array([[*a, *x[k]] if a else x[k] for a, x in zip(cols[name].to_pylist(), got, strict=True)], kind)
-                best = [max((x for x in (a, y[3]) if x), key=lambda x: (x["words"], -x["at"]), default=None) for a, y in zip(cols["longest"].to_pylist(), got, strict=True)]
-                cols["longest"] = pa.array(best, batch.schema.field("longest").type)
-                cols["n_words"] = pa.array([x[0] for x in got], pa.int64())
-                yield pa.RecordBatch.from_arrays([*cols.values()], names=[*cols])
-
-        out = out.mapInArrow(scanned, out.schema)
+    sc = docs.sparkSession.sparkContext
+    rows = with_text(docs, keep)
+    shared = [sc.broadcast(q) for q in query_blocks(benchmark, block_text)] or [sc.broadcast(index_queries([]))]
+    result = row_schema(rows, f"n_words bigint, spans {SPANS}, items array<string>, longest {LONGEST}")
+    kinds = {f.name: to_arrow_type(f.dataType) for f in result.fields[1:]}
+
+    def scanned(batches):
+        for group in grouped(batches, group_text if len(shared) > 1 else 0):
+            found: list[list] = [[None] * len(texts) for _, texts in group]
+            for block in shared:
+                q = block.value
+                for (_, texts), out in zip(group, found, strict=True):
+                    got = [x for part in shards(texts, shard_text) for x in scan(q, part)]
+                    out[:] = [x if a is None else (x[0], a[1] + x[1], a[2] + x[2], longer(a[3], x[3])) for a, x in zip(out, got, strict=True)]
+                if len(shared) > 1:
+                    del q, block._value  # it is read again from the executor's copy
+            for (batch, _), out in zip(group, found, strict=True):
+                cells = [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds.values())]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *cells], names=["row", *kinds])
+
+    out = rows.mapInArrow(scanned, result)
     # Spans of one block are apart and in order; those of several may overlap.
     step = lambda s, x: F.struct(F.greatest(s["end"], x["stop"]).alias("end"), (s["n"] + F.greatest(F.lit(0).cast("long"), x["stop"] - F.greatest(s["end"], x["start"]))).alias("n"))
     zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
