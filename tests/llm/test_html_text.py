@@ -1,3 +1,6 @@
+import time
+import tracemalloc
+
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -65,6 +68,49 @@ def test_deep_and_adversarial_pages_stay_linear():
         H.visible_text(page)
 
 
+def test_spans_and_padding_are_bounded():
+    long_cell = "<table><tr><td>" + "w " * 2500 + "<td>x" + "<tr><td>a<td>b" * 10_000 + "</table>"
+    spans = "<table><tr>" + "<td colspan=100 rowspan=100>c" * 3000 + "<tr><td>d" * 200 + "</table>"
+    wide = "<table><tr>" + "".join(f"<td>{'v' * 60}" for _ in range(900)) + "<tr><td colspan=899><td>x" * 5000 + "</table>"
+    nested = "<table><tr><td>a<td>" * 200 + "z" + "</table>" * 200
+    deep = "<blockquote>" * 400 + "<br>x" * 20_000
+    many = "<table><tr><td>a<td>b</table>" * 5000
+    tall = "<table>" + "<tr><td rowspan=65534>a" * 20_000 + "</table>"
+    for page in (long_cell, spans, wide, nested, deep, many, tall):
+        tracemalloc.start()
+        began = time.process_time()
+        text = H.visible_text(page)
+        took, (_, peak) = time.process_time() - began, tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert len(text) <= 10 * len(page) and peak < 200e6 and took < 60, (page[:40], len(text), peak, took)
+    lines = H.visible_text(long_cell).split("\n")
+    assert lines[0] == ("w " * 2500).strip() + "  x" and lines[1] == "a".ljust(H.WIDE + 2) + "b"
+
+
+def slow(node) -> list[str]:
+    """Lines of a paragraph (a string), list (of nodes) or table (rows of words) by the plain rules."""
+    kind, content = node
+    if kind == "p":
+        return [" ".join(content)]
+    if kind == "ul":
+        return [line for words in content for line in ["- " + " ".join(words)]]
+    width = [max((len(row[c]) for row in content if c < len(row)), default=0) for c in range(max(map(len, content)))]
+    return ["  ".join(word.ljust(width[c]) for c, word in enumerate(row)).rstrip() for row in content]
+
+
+WORDS = st.lists(st.text("abcxyz", min_size=1, max_size=9), min_size=1, max_size=5)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.tuples(st.just("p"), WORDS), st.tuples(st.just("ul"), st.lists(WORDS, min_size=1, max_size=4)), st.tuples(st.just("table"), st.lists(WORDS, min_size=1, max_size=4))), max_size=5))
+def test_against_plain_rules(nodes):
+    html = {
+        "p": lambda c: "<p>" + "\n ".join(c), "ul": lambda c: "<ul>" + "".join("<li>" + " ".join(w) for w in c) + "</ul>",
+        "table": lambda c: "<table>" + "".join("<tr>" + "".join(f"<td> {w}</td>" for w in row) for row in c) + "</table>",
+    }
+    assert H.visible_text("".join(html[k](c) for k, c in nodes)) == "\n\n".join("\n".join(slow(n)) for n in nodes)
+
+
 def test_query(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").union(spark.createDataFrame([(None, "u", None)], "page_id long, url string, html string"))
     html = {r.page_id: r.html for r in pages.collect()}

@@ -4,13 +4,15 @@ A page is parsed into a tree (implied end tags, void elements, raw-text elements
 walking it: what the head holds, scripts, templates, hidden and undisplayed elements, and closed details and dialogs give nothing;
 everything else gives its text, formulas and the labels of drawings too. Elements of these are named math/... and svg/... in the
 tree; each label is a line, and each row of a formula's table. Blocks begin new lines, paragraphs, headings, lists and tables stand apart by an empty line, items get
-their bullets or numbers and are indented by level, preformatted text keeps its white space, and table cells are padded to
-columns, spans included.
+their bullets or numbers and are indented by level up to INDENT, preformatted text keeps its white space, and table cells are padded to
+columns, spans included. A cell of more than WIDE characters does not widen its column: it runs on, and the next cell of its row
+follows it. A page's padding is PADDING times its html at most: tables that would need more have their cells apart by two spaces.
 
 Defined cases: null and empty pages give empty text; text without tags is collapsed text; an unterminated tag at the end is left out;
 a quote that nothing closes opens no string;
-elements nested more than DEPTH deep become children of the deepest one, so time and memory stay linear; no page
-raises; columns other than the id and the html are ignored.
+elements nested more than DEPTH deep become children of the deepest one, as browsers have it; spans end with their table, and columns
+beyond COLUMNS are not aligned. So a page's time, memory and text are in proportion to its html (times DEPTH or COLUMNS at most, and
+its text no more than ten times it). No page raises; columns other than the id and the html are ignored.
 """
 
 from __future__ import annotations
@@ -19,12 +21,15 @@ import re
 from collections import Counter
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 DEPTH = 512
-#: A cell spans this many columns or rows at most, as in browsers' own limits but smaller.
-SPAN = 100
+#: Columns of a table that are aligned, and that a cell spans at most; characters to which a cell widens its column, and an item is indented.
+COLUMNS, WIDE, INDENT = 1000, 40, 24
+#: Spaces that tables of a page are padded with, times the length of its html.
+PADDING = 4
 
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -210,7 +215,7 @@ class Sheet:
             if self.gap and self.lines:
                 self.lines.append("")
             self.gap, self.space = False, False
-            self.now.append(" " * max(0, self.indent - len(self.mark)) + self.mark)
+            self.now.append(" " * max(0, min(INDENT, self.indent) - len(self.mark)) + self.mark)
             self.mark = ""
         elif self.space:
             self.now.append(" ")
@@ -257,33 +262,37 @@ def number(value: str | None, default: int) -> int:
     return int(value) if value and re.fullmatch(r"-?\d{1,9}", value.strip()) else default
 
 
-def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """Rows of cells (lines, columns, rows) as lines, cells padded to their columns."""
-    placed, taken, wide = [], {}, 0
+def table_lines(rows: list[list[tuple[list[str], int, int]]], room: list[int]) -> list[str]:
+    """Rows of cells (lines, columns, rows) as lines, cells padded to their columns as long as the page's `room` for spaces lasts."""
+    until, wide = np.zeros(COLUMNS, np.int64), 0  # the row until which a column is taken, and the columns in use
+    placed, by_row = [], []
     for r, row in enumerate(rows):
-        c = 0
+        c, cells = 0, []
         for lines, across, down in row:
-            while (r, c) in taken:
-                c += 1
-            for i in range(down):
-                for j in range(across):
-                    taken[r + i, c + j] = True
-            placed.append((r, c, across, lines))
+            if c < wide and until[c] > r:
+                free = until[c:wide] <= r
+                c = c + int(free.argmax()) if free.any() else wide
+            across = min(across, COLUMNS - c)
+            until[c : c + across] = r + min(down, len(rows) - r)
+            cells.append((c, lines))
+            if across and lines:
+                placed.append((across, c, min(WIDE, max(map(len, lines)))))
             c += across
-        wide = max(wide, c)
+            wide = max(wide, c)
+        by_row.append(cells)
     width = [0] * wide
-    for across in sorted({x[2] for x in placed}):  # cells of fewer columns first; wider ones stretch their last column
-        for _, c, a, lines in placed:
-            if a == across:
-                short = max(map(len, lines), default=0) - sum(width[c : c + a]) - 2 * (a - 1)
-                width[c + a - 1] += max(0, short)
+    for across, c, w in sorted(placed):  # cells of fewer columns first; wider ones stretch their last column
+        short = w - sum(width[c : c + across]) - 2 * (across - 1)
+        width[c + across - 1] += max(0, short)
     start = [0]
     for w in width:
         start.append(start[-1] + (w + 2 if w else 0))
-    by: dict[int, list] = {}
-    for r, c, _, lines in placed:
-        by.setdefault(r, []).append((c, lines))
-    return [line for r in range(len(rows)) for line in row_lines(by.get(r, []), start)]
+    pads = sum(max((start[c] for c, lines in cells if lines), default=0) * max((len(lines) for _, lines in cells), default=0) for cells in by_row)
+    if pads > room[0]:
+        start = [0] * len(start)
+    else:
+        room[0] -= pads
+    return [line for cells in by_row for line in row_lines(cells, start)]
 
 
 def row_lines(cells: list[tuple[int, list[str]]], start: list[int]) -> list[str]:
@@ -292,7 +301,7 @@ def row_lines(cells: list[tuple[int, list[str]]], start: list[int]) -> list[str]
         line = ""
         for c, lines in cells:
             if k < len(lines) and lines[k]:
-                line = line.ljust(start[c]) + lines[k]
+                line = (line + "  " if line and len(line) > start[c] - 2 else line.ljust(start[c])) + lines[k]
         out.append(line)
     return out
 
@@ -302,6 +311,7 @@ def visible_text(html: str | None) -> str:
         return ""
     tree, hidden = parse(html)
     sheets, tables, lists, pre, labels = [Sheet()], [], [], 0, 0
+    room = [PADDING * len(html)]
     todo: list = [(tree, True)]
     while todo:
         node, enter = todo.pop()
@@ -374,11 +384,11 @@ def visible_text(html: str | None) -> str:
             lines = sheets.pop().done()
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append((lines, min(SPAN, max(1, number(attrs.get("colspan"), 1))), min(SPAN, max(1, number(attrs.get("rowspan"), 1)))))
+            tables[-1][-1].append((lines, min(COLUMNS, max(1, number(attrs.get("colspan"), 1))), max(1, number(attrs.get("rowspan"), 1))))
             continue
         elif tag == "table":
             sheet.end()
-            for line in table_lines(tables.pop()):
+            for line in table_lines(tables.pop(), room):
                 sheet.put(line) if line else None
                 sheet.end(True)
         elif tag == "q":
