@@ -30,13 +30,13 @@ def brute(rows):
 @pytest.mark.parametrize("file_bytes", [R.FILE_BYTES, 600])
 def test_round_trip(spark, tmp_path, file_bytes):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
-    raw = R.cut(R.write_monolithic(R.decided(pages), str(tmp_path), file_bytes))
-    manifest = R.cut(R.normalise(raw))
+    raw = R.cut(R.write_monolithic(R.decided(pages), f"file:{tmp_path}/raw", file_bytes))
+    manifest = R.cut(R.normalise(raw, f"file:{tmp_path}"))
     assert sum(r.records for r in raw.collect()) == sum(r.records for r in manifest.collect()) == len(ROWS)
     assert sorted((tuple(r) for r in R.read_records(manifest).collect()), key=repr) == brute(ROWS)
     for r in manifest.collect():
-        data = open(r.path, "rb").read()
-        for line in open(r["index"]):
+        data = open(r.path.removeprefix("file:"), "rb").read()
+        for line in open(r["index"].removeprefix("file:")):
             at, length, name = line.split("\t")
             one = zlib.decompress(data[int(at) : int(at) + int(length)], 31)
             assert one.startswith(b"WARC/1.1\r\n") and name.strip().encode() in one and one.endswith(b"\r\n\r\n")
@@ -49,6 +49,12 @@ def test_query(spark, sf):
     assert R.query(pages.limit(0)).count() == 0
 
 
+def test_only_normalised_files_stay_in_the_store_of_the_path(spark, tmp_path):
+    manifest = R.archive(spark.createDataFrame(ROWS, "page_id long, url string, html string"), str(tmp_path / "a"))
+    left = sorted(f"file:{p}" for p in (tmp_path / "a").rglob("*") if p.is_file())
+    assert left == sorted(x for r in manifest.collect() for x in (r.path, r["index"]))
+
+
 def test_join_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(R, "BROADCAST_ROWS", 0)
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of a path, by the file system that Spark itself takes for it. Executors open only such URIs."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
+def delete(spark: SparkSession, uri: str) -> None:
+    """Deletes a file or folder, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def _local(uri: str) -> str | None:
-    if uri.startswith("file:"):
-        return "/" + uri[5:].lstrip("/")
-    return uri if "://" not in uri else None
+    return "/" + uri[5:].lstrip("/") if uri.startswith("file:") else None
 
 
 def open_write(uri: str):

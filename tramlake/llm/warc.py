@@ -5,7 +5,8 @@ own, and writes a sidecar index (a line a record: offset, length, record id) bes
 work; a record is the most that stands in memory.
 
 Each task names its files anew, and only the manifest rows of tasks that ended well are used, so a lost executor or a second
-attempt leaves unused files at worst.
+attempt leaves unused files at worst. The monolithic files are deleted once the manifest of the normalised ones is written. Files lie in
+the store that Spark takes for the folder's path.
 
 Defined cases: null html is an empty payload, and equal to other empty ones; rows that share a payload and its least page_id are all
 responses; a null page_id comes after all others; a null url is written as urn:page:<page_id>; an empty table gives no files.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tramlake.llm.common import as_bytes, cut, shared_dir
-from tramlake.llm.files import open_read, open_write
+from tramlake.llm.files import delete, open_read, open_write, qualified
 
 #: Uncompressed bytes after which a writer begins a new file, and bytes that are read at once.
 FILE_BYTES, READ_BYTES = 32 << 20, 1 << 20
@@ -156,14 +157,14 @@ def write_monolithic(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
     return rows.select("page_id", "url", "payload", "size", "sha", "revisit", "refers_to").mapInArrow(written, "path string, records bigint")
 
 
-def normalise(manifest: DataFrame) -> DataFrame:
-    """Rewrites each file of the manifest with a member a record and a sidecar index; the result is the new manifest
+def normalise(manifest: DataFrame, folder: str) -> DataFrame:
+    """Rewrites each file of the manifest into a folder, with a member a record and a sidecar index; the result is the new manifest
     (path, index, records)."""
 
     def rewritten(batches):
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                name = path.rpartition("/")[0] + f"/{uuid4().hex}"
+                name = f"{folder}/{uuid4().hex}"
                 at = n = 0
                 with open_read(path) as source, open_write(f"{name}.warc.gz") as target, open_write(f"{name}.idx") as index:
                     for data in records(inflated(source)):
@@ -197,9 +198,13 @@ def read_records(manifest: DataFrame) -> DataFrame:
 
 def archive(pages: DataFrame, folder: str) -> DataFrame:
     """Writes pages as WARC and normalises the files; the result is the manifest of the normalised archives."""
+    spark = pages.sparkSession
+    folder = qualified(spark, folder)
     raw = cut(write_monolithic(decided(pages), f"{folder}/raw"))
-    ranges = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(normalise(raw.repartition(ranges, "path")))
+    # A file is the unit of work: no more tasks than files, and no fewer, however many there are.
+    out = cut(normalise(raw.repartition(max(1, raw.count()), "path"), folder))
+    delete(spark, f"{folder}/raw")
+    return out
 
 
 def query(pages: DataFrame) -> DataFrame:
