@@ -45,6 +45,20 @@ def test_pieces_of_a_long_text_give_the_same_vector(monkeypatch):
         assert np.allclose(a, b)
 
 
+def test_the_sample_has_one_document_and_label_an_id(spark, monkeypatch):
+    docs = [(k, f"words of text {k}") for k in range(1, 40)]
+    labels = [(k, k % 2) for k in range(1, 40)]
+    monkeypatch.setattr(Q, "PASSES", 1)
+    frame = lambda rows, kinds: spark.createDataFrame(rows, kinds).repartition(3)
+    want = Q.train(frame(docs, "doc_id long, text string"), frame(labels, "doc_id long, quality int"))
+    again = Q.train(frame([*docs, *[docs[4]] * 500], "doc_id long, text string"), frame(labels + [labels[4]] * 300, "doc_id long, quality int"))
+    assert (want == again).all()
+    # Documents and labels that share an id: a mean label, and the same document whatever the order.
+    odd = [frame([*docs, *((5, f"other {k}") for k in range(n))][::step], "doc_id long, text string") for n, step in ((50, 1), (50, -1))]
+    both = [Q.train(d, frame([*labels, (5, 0)], "doc_id long, quality int")) for d in odd]
+    assert (both[0] == both[1]).all()
+
+
 def test_nulls_empty_texts_and_no_labels(spark):
     docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "good words here", 0), (3, "good words here", 0), (None, "x", 0), (9, "bad ***", 0)], "doc_id long, text string, score int")
     labels = spark.createDataFrame([(3, 1), (9, 0), (None, 1), (1, None), (3, 1)], "doc_id long, quality int")

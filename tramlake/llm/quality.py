@@ -4,11 +4,12 @@ Tokens are runs of letters and digits and runs of other visible bytes, case kept
 token followed by itself is one feature whatever the token. A document's vector holds the logarithms of its counts, scaled to
 one length, and its score is the logistic function of that sparse vector's dot product with the weights.
 
-Training uses a bounded sample: about TRAIN_ROWS labelled documents, chosen by a hash of doc_id among those that are not held out. One
-task streams them in a fixed order through the updates; only the weights leave it.
+Training uses a bounded sample: about TRAIN_ROWS labelled doc_ids, chosen by their hash among those that are not held out, each with one
+label and one document. One task streams them in a fixed order through the updates; only the weights leave it.
 
-Defined cases: null and empty texts are scored by the bias alone; without any labelled row every score is 0.5; null labels teach
-nothing; a doc_id with several labels or rows is seen once for each pair; repeated texts get equal scores.
+Defined cases: null and empty texts are scored by the bias alone; without any labelled row every score is 0.5; null labels and null
+doc_ids teach nothing; a doc_id with several labels has their mean, one with several documents is seen with the one whose vector comes
+first; repeated texts get equal scores.
 """
 
 from __future__ import annotations
@@ -81,7 +82,8 @@ def fit(rows) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     """Weights, or None if no labelled row is there to learn from."""
-    taught = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where(F.col("label").isNotNull() & (crc32_of_id("doc_id") % FOLDS != HELD_OUT))
+    taught = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("label IS NOT NULL AND doc_id IS NOT NULL").where(crc32_of_id("doc_id") % FOLDS != HELD_OUT)
+    taught = taught.groupBy("doc_id").agg(F.avg("label").alias("label"))
     n = taught.count()
     if not n:
         return None
@@ -111,6 +113,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = sample.mapInArrow(vectors, f"lot bigint, doc_id {kind}, label double, at binary, x binary")
+    # One document a doc_id, found before the shuffle too, so that a labelled id that very many rows share stays one row.
+    found = found.groupBy("lot", "doc_id", "label").agg(F.min(F.struct("at", "x")).alias("v")).select("lot", "doc_id", "label", "v.at", "v.x")
     # Each pass is a copy of the sample, so that the task holds the weights and a batch, however long the texts are.
     passes = found.withColumn("pass", F.explode(F.array(*map(F.lit, range(PASSES)))))
     weights = passes.repartition(1).sortWithinPartitions("pass", "lot", "doc_id", "at", "label").mapInArrow(fitted, "w binary").collect()
