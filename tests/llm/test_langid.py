@@ -67,3 +67,16 @@ def test_one_language_none_and_empty_tables(spark):
     assert {r.lang_pred for r in L.query(unlabelled).collect()} == {"und"}
     assert L.known(unlabelled).columns == unlabelled.columns
     assert L.query(docs.limit(0)).count() == 0
+
+
+def test_many_languages_have_a_row_each(spark, monkeypatch):
+    rows = [(k, f"{'abcdefghij'[k % 10] * 3} {'klmnopqrst'[k % 10] * 4} word{k}", f"l{k % 10}") for k in range(200)] + [(1000 + k, "zzz yyyy xx", "rare") for k in range(1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(L, "TRAIN_ROWS", 20)
+    model = L.train(docs)
+    assert model["names"] == sorted({r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2})
+    again = L.train(docs.union(docs.where("doc_id = 7").crossJoin(spark.range(500)).drop("id")))
+    assert again["names"] == model["names"]
+    monkeypatch.setattr(L, "LANGUAGES", 5)
+    with pytest.raises(ValueError):
+        L.train(docs)

@@ -5,11 +5,13 @@ which half of the languages a text belongs to. Decoding takes the codeword with
 weighted by how well its classifier did on that language's training rows; a text is ambiguous if the hard decisions are
 further from that codeword than the code can correct, or if the runner-up's loss is almost the same.
 
-Training uses a bounded sample: up to QUOTA rows a language and TRAIN_ROWS in all, chosen by a hash of doc_id among the rows
-that are not held out. Only their n-gram counts, of fixed size, reach the driver.
+Training uses a bounded sample: about QUOTA doc_ids a language and TRAIN_ROWS in all, one at least of each language, chosen by a
+hash of doc_id among the rows that are not held out. Only their n-gram counts, of fixed size, reach the driver. More than LANGUAGES
+languages are refused.
 
 Defined cases: null text, or text without a letter, is `und` with score 0; no labelled rows at all makes every text `und`; one
-language alone is predicted for all; a null lang teaches nothing; texts with equal letters get equal predictions.
+language alone is predicted for all; a null lang teaches nothing; of rows that share a lang and doc_id the least text teaches;
+texts with equal letters get equal predictions.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from tramlake.llm.common import crc32_of_id, row_schema, text_blocks, texts_of, with_text
 
 FOLDS, HELD_OUT = 4, 2
-QUOTA, TRAIN_ROWS = 500, 4000
+QUOTA, TRAIN_ROWS, LANGUAGES = 500, 4000, 1000
 #: log2 of the hashed n-gram space, and n.
 BITS, N = 12, 3
 ROUNDS, RATE, DECAY = 300, 20.0, 1e-5
@@ -117,13 +119,16 @@ def decode(model: dict, x: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarra
 def train(docs: DataFrame) -> dict | None:
     """The model, or None if no row teaches a language."""
     rows = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc32_of_id("doc_id") % FOLDS != HELD_OUT))
-    per = dict(rows.groupBy("lang").count().collect())  # one row a language
+    lots = F.crc32(F.concat(F.lit("lang:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")) % F.lit(1 << 31)
+    rows = rows.withColumn("lot", lots)
+    per = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("lot").alias("least")).limit(LANGUAGES + 1).collect()  # one row a language
     if not per:
         return None
+    if len(per) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     quota = max(1, min(QUOTA, TRAIN_ROWS // len(per)))
-    # A hash below quota / count of 2^31 takes about the quota of each language, wherever its rows are.
-    lots = F.crc32(F.concat(F.lit("lang:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")) % F.lit(1 << 31)
-    drawn = F.create_map(*(F.lit(v) for k, n in per.items() for v in (k, min(1.0, quota / n) * (1 << 31))))[F.col("lang")]
+    # A hash below quota / count of 2^31 takes about the quota of each language, wherever its rows are; the least hash is always taken.
+    drawn = F.create_map(*(F.lit(v) for r in per for v in (r.lang, max(min(1.0, quota / r.n) * (1 << 31), float(r.least + 1)))))[F.col("lang")]
 
     def counted(batches):
         for batch in batches:
@@ -132,7 +137,8 @@ def train(docs: DataFrame) -> dict | None:
                 found = [ngram_counts(t) for t in text[k : k + 256]]
                 yield pa.RecordBatch.from_arrays([pa.array(lang[k : k + 256]), pa.array([scaled(c[None])[0].astype(np.float16).tobytes() for c in found])], names=["lang", "x"])
 
-    sample = rows.where(lots < drawn).select("lang", "text").mapInArrow(counted, "lang string, x binary").toArrow()
+    once = rows.where(F.col("lot") < drawn).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    sample = once.select("lang", "text").mapInArrow(counted, "lang string, x binary").toArrow()
     order = sorted(zip(sample.column("lang").to_pylist(), sample.column("x").to_pylist(), strict=True))
     if not order:
         return None
