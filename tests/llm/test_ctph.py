@@ -1,6 +1,7 @@
 from hashlib import sha256
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ def slow_likeness(a, b):
 def check(spark, rows, parts=3):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
     got = sorted((tuple(r) for r in C.query(docs).collect()), key=repr)
-    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)).astype(np.int64), r[1].encode()))
     want = []
     for k, (i, t) in enumerate(order):
         following = order[(k + 1) % len(order)][1]
@@ -85,7 +86,7 @@ def check(spark, rows, parts=3):
 
 def test_edges_of_ranges_and_odd_rows(spark):
     rows = [(k * 7 % 101, f"text {k} " * (k % 13 * 9 + 1)) for k in range(101)]
-    check(spark, [*rows, (500, None), (501, ""), (502, "é€😀" * 20), (502, "é€😀" * 20), (None, "last"), (-5, "x")])
+    check(spark, [*rows, (500, None), (501, ""), (502, "é€😀" * 20), (502, "é€😀" * 20), (None, "last"), (None, "first"), (-5, "x"), *((77, f"shared id {k} " * 9) for k in range(30))])
 
 
 def test_few_rows(spark):

@@ -36,6 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partitions_for(rows: DataFrame, bytes_each: int = 256 << 20) -> int:
+    """As many partitions as a shuffle of the rows has, or more if the optimizer's estimate of their bytes asks for them."""
+    estimate = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    asked = estimate // bytes_each if estimate < 1 << 60 else 0  # beyond that it is no estimate
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), asked)
+
+
 def whole_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
     """The columns `keep` (all by default) as one struct named row, whatever they are called."""
     return F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row")

@@ -6,10 +6,10 @@ PIECES pieces, and for the next one; two fingerprints are comparable if one of t
 their likeness is one minus the edit distance of those signatures over the longer one's length.
 
 The next document in the order of descending doc_id is found by one range shuffle of the texts; where a range ends, the first
-row of the next range is joined to its last row, so no task sees more than its range.
+row of the next range is joined to its last row, so no task sees more than its range. There are as many ranges as the table's bytes ask for.
 
 Defined cases: null counts as empty text; an empty text has the fingerprint "4::", like itself alone; rows with equal doc_ids
-follow each other by text; a null doc_id comes last; a single document is its own next; other columns are ignored.
+follow each other by a hash of the text, then the text, and may lie in several ranges; a null doc_id comes last; a single document is its own next; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tramlake.llm.common import cut
+from tramlake.llm.common import cut, partitions_for
 
 SPAN = 7
 PIECES, FEW = 64, 16
@@ -114,7 +114,6 @@ def edited(text: str, following: str) -> str:
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, next_fingerprint of every row."""
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     result = f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, next_fingerprint string"
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint"]
@@ -157,10 +156,9 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
             got = [row(*x, kept) for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[1] for x in got], pa.int64()), *(pa.array([x[k] for x in got], pa.string()) for k in range(2, 6))], names=names)
 
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = texts.repartitionByRange(ranges, order[0]).sortWithinPartitions(*order)
+    texts = texts.repartitionByRange(partitions_for(texts), *order[:2]).sortWithinPartitions(*order)
     done = cut(texts.mapInArrow(walked, f"{result}, text string, edge int, place int"))
     firsts = done.where("edge = 0").select("place", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
     # One short row a range: the range that follows it, the first again after the last.
