@@ -29,6 +29,33 @@ def test_numbers_are_those_of_one_global_order(spark):
     assert all(r.n == r.k + 1 for r in got) and len(got) == 200
 
 
+def test_null_and_equal_times_are_numbered(spark):
+    df = spark.createDataFrame([(0, None), (1, None), *((k, T0 + timedelta(days=k // 4)) for k in range(2, 30))], "k long, t timestamp_ntz").repartition(5)
+    got = {r.k: r.n for r in ordering.numbered(df, ["t"], F.date_trunc("day", "t")).collect()}
+    assert sorted(got.values()) == list(range(1, 31)) and {got[0], got[1]} == {1, 2} and all(got[a] < got[b] for a in got for b in got if a // 4 < b // 4 and a > 1)
+
+
+def test_first_other_against_all_pairs(spark):
+    rng = random.Random(3)
+    left = [(i, rng.choice(["a", "b", "c", None]), rng.choice([1, 2, None])) for i in range(40)]
+    right = [(rng.choice(["a", "b", None]), rng.choice([1, 2, 3, None]), i, f"v{i % 4}") for i in range(25)]
+    a, b = spark.createDataFrame(left, "i int, k string, d int"), spark.createDataFrame(right, "rk string, rd int, at int, v string")
+    got = {r.i: (r.rd, r["at"], r.v) for r in matching.first_other(a, b, {"k": "rk"}, ("d", "rd"), ["at"]).collect()}
+    want = {i: min(((d2, at, v) for k2, d2, at, v in right if k is not None and k == k2 and None not in (d, d2) and d != d2), key=lambda x: x[1], default=(None,) * 3) for i, k, d in left}
+    assert got == want
+
+
+def test_deltas_over_days(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), T0 + timedelta(hours=h), float(h * h % 17) if h % 5 else None) for h in rng.sample(range(400), 90)]
+    got = {(r.k, r.t): r.delta for r in statistics.deltas(spark.createDataFrame(rows, "k string, t timestamp_ntz, v double"), "k", "t", "v").collect()}
+    want = {}
+    for k in ("a", "b", None):
+        own = sorted((t, v) for x, t, v in rows if x == k)
+        want |= {(k, t): None if n == 0 or v is None or own[n - 1][1] is None else v - own[n - 1][1] for n, (t, v) in enumerate(own)}
+    assert got == want
+
+
 def test_count_windows(spark):
     df = times(spark, 7).union(times(spark, 7))
     got = sorted({(r.k, r.window, r.place) for r in ordering.count_windows(df, "t", F.date_trunc("day", "t"), 3).collect()})
@@ -92,6 +119,7 @@ def test_copies_and_tombstones(spark):
     rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, None)], "id long, data string")
     stored = matching.point_to_copies(rows.where("data IS NOT NULL"), "id", "data")
     assert {r.id: (r.data, r.copy_id) for r in stored.collect()} == {1: ("x", None), 2: ("y", None), 3: (None, 1)}
+    assert {r.id: (r.data, r.hash, r.copy_id) for r in matching.point_to_copies(rows.union(rows.selectExpr("id + 10", "data")), "id", "data").where("id IN (4, 14)").collect()} == {4: (None,) * 3, 14: (None,) * 3}
     back = matching.resolve_copies(stored)
     assert {r.id: r.data for r in back.collect()} == {1: "x", 2: "y", 3: "x"}
     lost = spark.createDataFrame([(1, None, None, 9), (2, None, None, None)], "id long, data string, hash string, copy_id long")

@@ -7,8 +7,8 @@ from urllib.request import urlopen
 import pytest
 from pyspark.sql import functions as F
 
-from tramlake.plans import compaction, components, service
-from tramlake.plans.components import Component
+from tramlake.plans import compaction, nodes, service
+from tramlake.plans.nodes import Node
 from tramlake.sources.catalog import Catalog, blob_path, decoded
 from tramlake.streaming import incremental, runner
 
@@ -31,11 +31,12 @@ def test_catalog_appends_and_reads(spark, catalog):
     catalog.append("c", rows(spark, (T0, "x"), (T0 + H, "y"), (T0 + 2 * H, "x"), (T0 + 3 * H, None)))
     catalog.append("c", rows(spark, (T0 + 4 * H, "y"), (T0 + 2 * H, "again"), (T0 + 30 * H, "z")))
     raw = {r.id: (r.date - T0, r.data, r.copy_id) for r in catalog.raw("c").collect()}
-    assert raw == {1: (0 * H, "x", None), 2: (H, "y", None), 3: (2 * H, None, 1), 4: (3 * H, None, None), 5: (4 * H, None, 2), 6: (30 * H, "z", None)}
+    # A row of a date that is there already is added like any other.
+    assert raw == {1: (0 * H, "x", None), 2: (H, "y", None), 3: (2 * H, None, 1), 4: (3 * H, None, None), 5: (2 * H, "again", None), 6: (4 * H, None, 2), 7: (30 * H, "z", None)}
     data = lambda df: [r.data for r in df.collect()]
-    assert data(catalog.between("c")) == ["x", "y", "x", "y", "z"] and data(catalog.latest("c")) == ["z"] and data(catalog.first("c")) == ["x"]
-    assert data(catalog.before("c", T0 + 4 * H, 2)) == ["x", "y"] and data(catalog.after("c", T0 + 2 * H)) == ["z", "y"] and len(data(catalog.within("c", T0, T0 + 2 * H))) == 3
-    assert catalog.read("c", with_null=True).count() == 6 and catalog.last_date("c") == T0 + 30 * H
+    assert sorted(data(catalog.between("c"))) == sorted(["x", "y", "x", "again", "y", "z"]) and data(catalog.latest("c")) == ["z"] and data(catalog.first("c")) == ["x"]
+    assert sorted(data(catalog.before("c", T0 + 4 * H, 2))) == ["again", "x"] and data(catalog.after("c", T0 + 2 * H)) == ["z", "y"] and len(data(catalog.within("c", T0, T0 + 2 * H))) == 4
+    assert catalog.read("c", with_null=True).count() == 7 and catalog.last_date("c") == T0 + 30 * H
     catalog.append("d", rows(spark, (T0, "x"), (T0 + H, "x")), "text", share=False)
     catalog.append("e", spark.createDataFrame([(T0, bytearray(b"\x00\xff")), (T0 + H, bytearray(b"\x00\xff"))], "date timestamp_ntz, data binary"), "gtfs")
     assert [bytes(r.payload) for r in decoded(catalog.read("e"), "gtfs").collect()] == [b"\x00\xff"] * 2
@@ -43,6 +44,22 @@ def test_catalog_appends_and_reads(spark, catalog):
     assert catalog.raw("d").select(blob_path("d", F.col("date")).alias("p")).orderBy("p").first().p == "d/2024-01-01_00-00-00"
 
 
+def test_catalog_loses_no_row(spark, catalog):
+    catalog.append("c", rows(spark, (T0, "a"), (T0, "b"), (T0, "a")))
+    catalog.append("c", rows(spark, (T0, "c"), (T0, "a"), (None, "d"), (None, None), (T0 + H, None)))
+    assert sorted((r.date, r.data) for r in catalog.read("c").where("date IS NOT NULL").collect()) == [(T0, x) for x in "aaabc"]
+    assert sorted(r.id for r in catalog.raw("c").collect()) == list(range(1, 9)) and catalog.raw("c").where("date IS NULL").count() == 2
+    assert [r.data for r in catalog.latest("c").collect()] in (["a"], ["b"], ["c"])
+
+
+def test_reads_touch_the_days_between_their_times(spark, catalog):
+    catalog.append("c", rows(spark, *((T0 + k * 24 * H, f"{k % 3}") for k in range(6))))
+    found = catalog.between("c", T0 + 30 * H, T0 + 60 * H, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in plan and "(day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.data for r in found.collect()] == ["2"] and len({r.d for r in catalog.raw("c", T0 + 30 * H, T0 + 60 * H).selectExpr("to_date(date) AS d").collect()}) == 2
+
+
 CONFIG = """
 [[collectors]]
 name = "raw"
@@ -66,17 +83,17 @@ def test_configuration(tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "city.toml").write_text(CONFIG)
     (tmp_path / "deep" / "other.toml").write_text('[[collectors]]\nname = "stops"\n')
-    found = components.load(str(tmp_path))
+    found = nodes.load(str(tmp_path))
     pairs = found["city_pairs"]
     assert (pairs.source, pairs.dependencies, pairs.optional) == ("city_raw", [("other_stops", 1)], [("city_pairs", 10)])
     assert (pairs.strict, pairs.multiple, pairs.levels) == (True, False, [("1h", []), ("1d", []), ("1w", ["lineId"])]) and pairs.load() is json.dumps
-    assert components.order(found).index("city_pairs") == 2
-    assert len(components.selected(found, "collectors", ["*"])) == len(components.selected(found, "collectors", ["all"])) == 2
+    assert nodes.order(found).index("city_pairs") == 2
+    assert len(nodes.selected(found, "collectors", ["*"])) == len(nodes.selected(found, "collectors", ["all"])) == 2
     with pytest.raises(ValueError):
-        components.selected(found, "handlers", ["nope"])
+        nodes.selected(found, "handlers", ["nope"])
     (tmp_path / "bad.toml").write_text('[[harvesters]]\nname = "x"\nsource = "gone"\n')
     with pytest.raises(ValueError):
-        components.load(str(tmp_path))
+        nodes.load(str(tmp_path))
 
 
 def test_derive_slice_by_slice(spark, catalog):
@@ -88,7 +105,7 @@ def test_derive_slice_by_slice(spark, catalog):
         seen.append((got, [r.data for r in stops.collect()], None if out is None else [r.data for r in out.collect()]))
         return None if got == ["2", "3"] else source.agg(F.array_join(F.array_sort(F.collect_list("data")), "+").alias("data"))
 
-    c = Component("out", "harvesters", run, source="raw", source_range=2, dependencies=[("stops", 1)], optional=[("out", 2)])
+    c = Node("out", "harvesters", run, source="raw", source_range=2, dependencies=[("stops", 1)], optional=[("out", 2)])
     assert not runner.derive(catalog, c) and runner.watermark(catalog, c) is None
     catalog.append("stops", rows(spark, (T0 + 3 * H, "late")))
     assert runner.watermark(catalog, c) == T0 + 3 * H - timedelta(seconds=1)
@@ -102,7 +119,7 @@ def test_derive_slice_by_slice(spark, catalog):
 
 def test_several_results_keep_their_dates(spark, catalog):
     catalog.append("raw", rows(spark, *((T0 + k * H, f"{k}") for k in range(4))))
-    c = Component("out", "harvesters", lambda source: source.where("data <> '1'").select("date", F.concat(F.lit("r"), "data").alias("data")), source="raw", source_range=2, multiple=True)
+    c = Node("out", "harvesters", lambda source: source.where("data <> '1'").select("date", F.concat(F.lit("r"), "data").alias("data")), source="raw", source_range=2, multiple=True)
     assert runner.derive_all(catalog, c) == 2
     assert [(r.date - T0, r.data) for r in catalog.between("out").collect()] == [(0 * H, "r0"), (2 * H, "r2"), (3 * H, "r3")]
 
@@ -114,7 +131,7 @@ def test_period_slices(spark):
 
 
 def test_collect_and_loops(spark, catalog):
-    assert runner.collect(catalog, Component("c", "collectors", lambda: "v"), T0) and not runner.collect(catalog, Component("c", "collectors", lambda: None), T0 + H)
+    assert runner.collect(catalog, Node("c", "collectors", lambda: "v"), T0) and not runner.collect(catalog, Node("c", "collectors", lambda: None), T0 + H)
     assert catalog.read("c").count() == 1
     steps, slept = iter([True, False, ValueError(), True]), []
 

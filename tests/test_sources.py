@@ -1,7 +1,9 @@
 import io
 import json
 import struct
+import threading
 import zipfile
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,13 +65,36 @@ def test_tokens_and_failover():
         http.fetch_with_any(good, "u", ["a", "c"])
     with pytest.raises(ValueError):
         http.fetch(lambda *_: (503, b""), "u")
-    assert http.client_token(lambda url, params, headers: (200, json.dumps({"access_token": params["client_id"] + "!"}).encode()), "u", "me", "s") == "me!"
+    assert http.client_token(lambda url, params, headers, form: (200, json.dumps({"access_token": form["client_id"] + "!" * (not params)}).encode()), "u", "me", "s") == "me!"
+    asked = []
+    named = lambda url, params, headers: asked.append((params, headers)) or (200, b"ok")
+    assert http.body({"url": "u", "token_key": "K", "token_parameter": "appid", "lamin": "4"}, named, {"q": 1}, {"K": "a"}) == b"ok" and asked == [({"q": 1, "lamin": "4", "appid": "a"}, {})]
+
+
+def test_a_form_is_posted():
+    class Answers(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"access_token": f"{self.path} {body.decode()} {self.headers['Content-Type']}"}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        got = http.client_token(http.urllib_transport, f"http://127.0.0.1:{server.server_port}/token", "me", "s&t")
+    finally:
+        server.shutdown()
+    assert got == "/token grant_type=client_credentials&client_id=me&client_secret=s%26t application/x-www-form-urlencoded"
 
 
 def test_binary_bodies_and_client_credentials(spark):
-    def transport(url, params, headers):
+    def transport(url, params, headers, form=None):
         if url == "token":
-            return 200, json.dumps({"access_token": f"{params['client_id']}-{params['client_secret']}"}).encode()
+            return 200, json.dumps({"access_token": f"{form['client_id']}-{form['client_secret']}"}).encode()
         return (200, b"\x00zip") if headers.get("Authorization") == "Bearer id-s" else (401, b"")
 
     http.register(spark, transport, "binary", {"ME": "id", "SECRET": "s"})

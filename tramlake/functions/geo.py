@@ -50,21 +50,19 @@ def along(a: Column, b: Column, share: Column) -> Column:
 def nearest(line: Column, p: Column) -> Column:
     """struct(far, travelled, segment, at): distance of p from the line, distance along it, number of the nearest segment (from 0; the first
     of equally near ones) and the nearest point."""
-    start = F.struct(F.lit(float("inf")).alias("far"), F.lit(0.0).alias("travelled"), F.lit(-1).alias("segment"), line[0].alias("at"), F.lit(0.0).alias("passed"), F.lit(0).alias("n"))
+    none = F.struct(F.lit(float("inf")).alias("far"), F.lit(0.0).alias("travelled"), F.lit(-1).alias("segment"), line[0].alias("at"))
+    start = F.struct(none.alias("best"), F.lit(0.0).alias("passed"), F.lit(0).alias("n"))
 
     def step(s: Column, e: Column) -> Column:
-        size = distance(e["a"], e["b"])
-        share = share_on_segment(p, e["a"], e["b"])
-        at = along(e["a"], e["b"], share)
-        far = distance(p, at)
-        better = far < s["far"]
-        pick = lambda new, old: F.when(better, new).otherwise(s[old]).alias(old)
-        return F.struct(
-            pick(far, "far"), pick(s["passed"] + share * size, "travelled"), pick(s["n"], "segment"), pick(at, "at"),
-            (s["passed"] + size).alias("passed"), (s["n"] + 1).alias("n"),
-        )
+        def seen(m: Column) -> Column:
+            found = F.struct(distance(p, m["at"]).alias("far"), (s["passed"] + m["share"] * m["size"]).alias("travelled"), s["n"].alias("segment"), m["at"].alias("at"))
+            best = _let(found, lambda x: F.when(x["far"] < s["best"]["far"], x).otherwise(s["best"]))
+            return F.struct(best.alias("best"), (s["passed"] + m["size"]).alias("passed"), (s["n"] + 1).alias("n"))
+
+        placed = lambda share: F.struct(share.alias("share"), along(e["a"], e["b"], share).alias("at"), distance(e["a"], e["b"]).alias("size"))
+        return _let(_let(share_on_segment(p, e["a"], e["b"]), placed), seen)
 
-    return F.aggregate(segments(line), start, step)
+    return F.aggregate(segments(line), start, step)["best"]
 
 
 def project(line: Column, p: Column) -> Column:

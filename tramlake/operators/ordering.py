@@ -9,35 +9,39 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tramlake.functions.time import moment
 
 
-def newest(df: DataFrame, time: str, n: int | None = 1) -> DataFrame:
-    """The n rows of the greatest times, newest first."""
+def newest(df: DataFrame, time: str, n: int | None = 1, ordered: bool = True) -> DataFrame:
+    """The n rows of the greatest times, newest first (all rows for None, in any order if not `ordered`)."""
+    if n is None and not ordered:
+        return df
     out = df.orderBy(F.col(time).desc())
     return out if n is None else out.limit(n)
 
 
-def oldest(df: DataFrame, time: str, n: int | None = 1) -> DataFrame:
-    """The n rows of the least times (all rows for None), oldest first."""
+def oldest(df: DataFrame, time: str, n: int | None = 1, ordered: bool = True) -> DataFrame:
+    """The n rows of the least times, oldest first (all rows for None, in any order if not `ordered`)."""
+    if n is None and not ordered:
+        return df
     out = df.orderBy(F.col(time).asc())
     return out if n is None else out.limit(n)
 
 
-def after(df: DataFrame, time: str, start, n: int | None = None) -> DataFrame:
+def after(df: DataFrame, time: str, start, n: int | None = None, ordered: bool = True) -> DataFrame:
     """The n newest of the rows strictly after `start`: the newest, not the next."""
-    return newest(df.where(F.col(time) > moment(start)), time, n)
+    return newest(df.where(F.col(time) > moment(start)), time, n, ordered)
 
 
-def before(df: DataFrame, time: str, end, n: int | None = None) -> DataFrame:
+def before(df: DataFrame, time: str, end, n: int | None = None, ordered: bool = True) -> DataFrame:
     """The n newest of the rows strictly before `end`."""
-    return newest(df.where(F.col(time) < moment(end)), time, n)
+    return newest(df.where(F.col(time) < moment(end)), time, n, ordered)
 
 
-def between(df: DataFrame, time: str, start=None, end=None, n: int | None = None) -> DataFrame:
+def between(df: DataFrame, time: str, start=None, end=None, n: int | None = None, ordered: bool = True) -> DataFrame:
     """The n oldest rows of the open interval; a bound of None is no bound."""
     if start is not None:
         df = df.where(F.col(time) > moment(start))
     if end is not None:
         df = df.where(F.col(time) < moment(end))
-    return oldest(df, time, n)
+    return oldest(df, time, n, ordered)
 
 
 def within(df: DataFrame, time: str, start, end) -> DataFrame:
@@ -50,6 +54,7 @@ def numbered(df: DataFrame, order: Sequence[str], bucket: Column, name: str = "n
 
     `bucket` must not decrease along that order. Rows are ranked inside their bucket and moved up by the sizes of the
     buckets before; only the table of bucket sizes is ordered as a whole, so the number of tasks grows with the buckets.
+    Nulls come first and are a bucket like any other; rows that are equal in `order` are numbered in any order.
     """
     marked = df.withColumn("__bucket", bucket)
     sizes = marked.groupBy("__bucket").agg(F.count("*").alias("__size"))
@@ -57,7 +62,8 @@ def numbered(df: DataFrame, order: Sequence[str], bucket: Column, name: str = "n
     offsets = sizes.select("__bucket", offset.alias("__offset"))
     rank = F.row_number().over(W.partitionBy("__bucket").orderBy(*order))
     ranked = marked.withColumn("__rank", rank)
-    return ranked.join(offsets, "__bucket").withColumn(name, F.col("__rank") + F.col("__offset")).drop("__bucket", "__rank", "__offset")
+    moved = ranked.join(offsets.withColumnRenamed("__bucket", "__of"), F.col("__bucket").eqNullSafe(F.col("__of")))
+    return moved.withColumn(name, F.col("__rank") + F.col("__offset")).drop("__bucket", "__of", "__rank", "__offset")
 
 
 def count_windows(df: DataFrame, time: str, bucket: Column, n: int, strict: bool = True) -> DataFrame:

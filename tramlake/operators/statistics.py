@@ -29,9 +29,20 @@ def pair_speed(df: DataFrame, keys: Sequence[str], place: str, distance: str, se
     return alone.select("window", *keys, rounded((F.col("d2") - F.col("d1")) / F.col("seconds") * 3.6, 2).alias("speed"))
 
 
-def deltas(df: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """Change of a value from the row before, in the order of time."""
-    return df.withColumn("delta", F.col(value) - F.lag(value).over(W.partitionBy(key).orderBy(time)))
+def deltas(df: DataFrame, key: str, time: str, value: str, bucket: str = "day") -> DataFrame:
+    """Change of a value from the row before, in the order of time (equal times by value), null for a key's first row and where either is null.
+
+    A key's rows are ordered inside time buckets; what the first row of a bucket follows comes from a table of a row a (key, bucket).
+    """
+    cell = F.struct(F.lit(True).alias("there"), F.col(value).alias("v"))
+    marked = df.withColumn("__bucket", F.date_trunc(bucket, F.col(time)))
+    order = F.struct(time, value)
+    ends = marked.groupBy(F.col(key).alias("__k"), F.col("__bucket").alias("__b")).agg(F.max_by(cell, order).alias("__last"))
+    carried = ends.withColumn("__before", F.lag("__last").over(W.partitionBy("__k").orderBy("__b"))).drop("__last")
+    near = F.lag(cell).over(W.partitionBy(key, "__bucket").orderBy(time, value))
+    rows = marked.withColumn("__near", near).join(carried, F.col(key).eqNullSafe(F.col("__k")) & F.col("__bucket").eqNullSafe(F.col("__b")), "left")
+    before = F.when(F.col("__near.there"), F.col("__near.v")).otherwise(F.col("__before.v"))
+    return rows.withColumn("delta", F.col(value) - before).select(*df.columns, "delta")
 
 
 def normalised(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -42,10 +53,10 @@ def normalised(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Dat
 
 
 def z_outliers(df: DataFrame, keys: Sequence[str], value: str, limit: float) -> DataFrame:
-    """Rows further from their key's mean than `limit` population standard deviations, with their z."""
-    stats = df.groupBy(*keys).agg(F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__std"))
+    """Rows further from their key's mean than `limit` population standard deviations, with their z; null keys are one key."""
+    stats = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__std"))
     z = (F.col(value) - F.col("__mean")) / F.col("__std")
-    return df.join(stats, [*keys]).where("__std > 0").withColumn("z", z).where(F.abs("z") > limit).drop("__mean", "__std")
+    return df.join(stats, same(keys)).where("__std > 0").withColumn("z", z).where(F.abs("z") > limit).select(*df.columns, "z")
 
 
 def ols(df: DataFrame, key: str, time: str, value: str) -> DataFrame:

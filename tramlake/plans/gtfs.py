@@ -13,6 +13,7 @@ from tramlake.sources import archives
 
 DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 ZONE = "Europe/Brussels"
+# Columns of the public timetable format that a schedule shows.
 SCHEDULE = ("trip_id", "arrival_time", "departure_time", "route_id", "trip_headsign", "trip_short_name")
 
 
@@ -29,21 +30,26 @@ def active_services(calendar: DataFrame | None, calendar_dates: DataFrame | None
     return out.distinct()
 
 
-def on_date(feed: dict[str, DataFrame], day: date) -> dict[str, DataFrame]:
-    """The trips of a date, their stop times (as seconds) and the stops that they serve."""
-    trips = feed["trips"].join(active_services(feed.get("calendar"), feed.get("calendar_dates"), day), "service_id", "left_semi")
-    times = feed["stop_times"].join(trips, "trip_id", "left_semi")
+def in_seconds(times: DataFrame) -> DataFrame:
+    """Stop times with their two times as seconds."""
     for c in ("arrival_time", "departure_time"):
         if dict(times.dtypes)[c] == "string":
             times = times.withColumn(c, time.seconds_of_day(F.col(c)))
+    return times
+
+
+def on_date(feed: dict[str, DataFrame], day: date) -> dict[str, DataFrame]:
+    """The trips of a date, their stop times (as seconds) and the stops that they serve."""
+    trips = feed["trips"].join(active_services(feed.get("calendar"), feed.get("calendar_dates"), day), "service_id", "left_semi")
+    times = in_seconds(feed["stop_times"]).join(trips, "trip_id", "left_semi")
     return {"trips": trips, "stop_times": times, "stops": feed["stops"].join(times, "stop_id", "left_semi")}
 
 
 def _between(feed: dict[str, DataFrame], day: date, start: int, end: int, stops: DataFrame) -> DataFrame:
     """Stop times that depart at `start` or later and arrive at `end` or earlier, with their trips and stops."""
-    now = on_date(feed, day)
-    times = now["stop_times"].where((F.col("departure_time") >= start) & (F.col("arrival_time") <= end))
-    rows = times.join(now["trips"], "trip_id")
+    trips = feed["trips"].join(active_services(feed.get("calendar"), feed.get("calendar_dates"), day), "service_id", "left_semi")
+    times = in_seconds(feed["stop_times"]).where((F.col("departure_time") >= start) & (F.col("arrival_time") <= end))
+    rows = times.join(trips, "trip_id")
     kept = [c for c in SCHEDULE if c in rows.columns]
     return rows.select("stop_id", *kept).join(stops, "stop_id")
 
@@ -56,7 +62,8 @@ def schedule(feed: dict[str, DataFrame], start: int, end: int, zone: str = ZONE)
     """
     first, last = (datetime.fromtimestamp(x, ZoneInfo(zone)) for x in (start, end))
     of_day = lambda t: t.hour * 3600 + t.minute * 60 + t.second
-    stops = on_date(feed, last.date())["stops"].select("stop_id", "stop_name", "stop_lat", "stop_lon")
+    # Stop times of a single day are at stops of that day; those of several, at the last day's.
+    stops = (feed if first.date() == last.date() else on_date(feed, last.date()))["stops"].select("stop_id", "stop_name", "stop_lat", "stop_lon")
     if first.date() == last.date():
         days = [(first.date(), of_day(first), of_day(last))]
     else:

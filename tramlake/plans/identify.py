@@ -172,8 +172,9 @@ def identify(rows: DataFrame, compat: bool = False) -> DataFrame:
         pdf = pdf.sort_values(["timestamp", "distance", "row_id"]).reset_index(drop=True)
         known = [u if isinstance(u, str) else None for u in pdf["uuid"]]
         found = dict(Group(str(pdf["lineId"].iloc[0]), pdf["timestamp"].to_numpy(float), pdf["distance"].to_numpy(float), known, compat).run())
+        given = {*known}
         salt = f"{pdf['lineId'].iloc[0]}|{pdf['direction'].iloc[0]}|{pdf['timestamp'].iloc[0]}"
-        names = [found[i] if known[i] == found[i] else md5(f"{salt}|{found[i]}".encode()).hexdigest() if found[i] not in known else found[i] for i in range(len(pdf))]
+        names = [found[i] if known[i] == found[i] else md5(f"{salt}|{found[i]}".encode()).hexdigest() if found[i] not in given else found[i] for i in range(len(pdf))]
         return pd.DataFrame({"lineId": pdf["lineId"], "direction": pdf["direction"], "row_id": pdf["row_id"], "uuid": names})
 
     slim = rows.select("row_id", F.col("lineId").cast("string").alias("lineId"), F.col("direction").cast("int").alias("direction"), "timestamp", "distance", F.col("uuid").cast("string").alias("uuid"))
@@ -184,8 +185,7 @@ def with_distance(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     """Adds the distance in metres along the line's first shape whose variant is not the row's direction; 0 without a shape."""
     named = shapes.select(text.shape_line_name(F.col("ligne")).alias("__ligne"), F.col("variante").alias("__variante"), F.transform("geometry", geo.to_lambert).alias("__line"), F.monotonically_increasing_id().alias("__at"))
     keys = rows.select("lineId", "direction").distinct()
-    on = (F.col("__ligne") == F.col("lineId")) & (F.col("__variante") != F.col("direction"))
-    lines = matching.first_match(keys, named, on, ["lineId", "direction"], ["__at"]).select(F.col("lineId").alias("__l"), F.col("direction").alias("__d"), "__line")
+    lines = matching.first_other(keys, named, {"lineId": "__ligne"}, ("direction", "__variante"), ["__at"]).select(F.col("lineId").alias("__l"), F.col("direction").alias("__d"), "__line")
     joined = rows.join(lines, F.col("lineId").eqNullSafe(F.col("__l")) & F.col("direction").eqNullSafe(F.col("__d")), "left")
     at = F.when(F.col("__line").isNotNull(), geo.project(F.col("__line"), geo.to_lambert(F.col("geometry")))).otherwise(0.0)
     return joined.withColumn("distance", at).drop("__l", "__d", "__line")

@@ -1,4 +1,4 @@
-"""Components and their graph: what is collected, what is derived from what, and what answers questions."""
+"""Nodes and their graph: what is collected, what is derived from what, and what answers questions."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ KINDS = ("collectors", "harvesters", "handlers")
 
 
 @dataclass
-class Component:
-    """A node of the graph. Edges hold (component, number of rows)."""
+class Node:
+    """A node of the graph. Edges hold (name, number of rows)."""
 
     name: str
     kind: str
@@ -45,17 +45,17 @@ def qualified(file: str, name: str) -> str:
     return name.replace(".", "_") if "." in name else f"{file}_{name}"
 
 
-def load(folder: str) -> dict[str, Component]:
-    """All components of the TOML files under a folder, by name; every edge must lead to one."""
-    out: dict[str, Component] = {}
+def load(folder: str) -> dict[str, Node]:
+    """All nodes of the TOML files under a folder, by name; every edge must lead to one."""
+    out: dict[str, Node] = {}
     for path in sorted(Path(folder).rglob("*.toml")):
         tables = tomllib.loads(path.read_text())
         for kind in KINDS:
             for entry in tables.get(kind, []):
-                component = _component(path.stem, kind, entry)
-                if component.name in out:
-                    raise ValueError(f"{component.name} is there twice")
-                out[component.name] = component
+                node = _node(path.stem, kind, entry)
+                if node.name in out:
+                    raise ValueError(f"{node.name} is there twice")
+                out[node.name] = node
     for c in out.values():
         for name in [*([c.source] if c.source else []), *(n for n, _ in (*c.dependencies, *c.optional))]:
             if name not in out:
@@ -70,12 +70,12 @@ def _edges(file: str, names: list[str], limits: list[int] | None) -> list[tuple[
     return [(qualified(file, n), k) for n, k in zip(names, limits, strict=True)]
 
 
-def _component(file: str, kind: str, entry: dict) -> Component:
+def _node(file: str, kind: str, entry: dict) -> Node:
     e = {k.lower(): v for k, v in entry.items()}
     batch = e.get("parquetize") or {}
     levels = [(batch["batch"], [])] if batch.get("batch") else []
     levels += [(g["period"], list(g.get("keys", []))) for g in batch.get("groups", [])]
-    return Component(
+    return Node(
         name=f"{file}_{e['name']}", kind=kind, run=e.get("run"), data_type=e.get("data_type", "json"), data_format=e.get("data_format", ""), schedule=e.get("schedule"),
         source=qualified(file, e["source"]) if e.get("source") else None, source_range=e.get("source_range", 1), strict=e.get("source_range_strict", True), multiple=e.get("multiple_results", False),
         dependencies=_edges(file, e.get("dependencies", []), e.get("dependencies_limit")), optional=_edges(file, e.get("optional_dependencies", []), e.get("optional_dependencies_limit")),
@@ -83,15 +83,15 @@ def _component(file: str, kind: str, entry: dict) -> Component:
     )
 
 
-def order(components: dict[str, Component]) -> list[str]:
-    """Sources before what is derived from them; a component may feed on its own output."""
-    graph = {c.name: {n for n in [c.source, *(n for n, _ in (*c.dependencies, *c.optional))] if n and n != c.name} for c in components.values()}
+def order(nodes: dict[str, Node]) -> list[str]:
+    """Sources before what is derived from them; a node may feed on its own output."""
+    graph = {c.name: {n for n in [c.source, *(n for n, _ in (*c.dependencies, *c.optional))] if n and n != c.name} for c in nodes.values()}
     return [*TopologicalSorter(graph).static_order()]
 
 
-def selected(components: dict[str, Component], kind: str, names: list[str]) -> list[Component]:
-    """The components of a kind that are named; `all` or `*` names all."""
-    every = [c for c in components.values() if c.kind == kind]
+def selected(nodes: dict[str, Node], kind: str, names: list[str]) -> list[Node]:
+    """The nodes of a kind that are named; `all` or `*` names all."""
+    every = [c for c in nodes.values() if c.kind == kind]
     if names in (["all"], ["*"]):
         return every
     missing = set(names) - {c.name for c in every}

@@ -23,8 +23,7 @@ def segments(shapes: DataFrame, stops: DataFrame) -> DataFrame:
     named = shapes.select(text.shape_line_name(F.col("ligne")).alias("ligne"), "variante", "color_hex", F.col("geometry").alias("line"), F.monotonically_increasing_id().alias("__at"))
     stop = F.struct("stop_sequence", "place", "stop_id", "geometry")
     lists = stops.groupBy(F.col("route_short_name").alias("line_id"), (F.col("direction") + 1).alias("direction")).agg(F.array_sort(F.collect_list(stop)).alias("stops"))
-    on = (F.col("ligne") == F.col("line_id")) & (F.col("variante") != F.col("direction"))
-    matched = matching.first_match(lists, named, on, ["line_id", "direction"], ["__at"]).where(F.col("line").isNotNull())
+    matched = matching.first_other(lists, named, {"line_id": "ligne"}, ("direction", "variante"), ["__at"]).where(F.col("line").isNotNull())
     woven = F.aggregate("stops", F.col("line"), lambda line, s: geo.insert_vertex(line, s["geometry"]))
     rows = matched.withColumn("woven", woven).withColumn("metric", F.transform("line", geo.to_lambert))
 

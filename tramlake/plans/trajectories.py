@@ -35,7 +35,7 @@ def points(snapshots: DataFrame, features: str, start: datetime, end: datetime,
 
     `features` is the schema of the feature array in each snapshot's JSON payload.
     """
-    chosen = ordering.between(snapshots.select("date", "data"), "date", start, end, limit)
+    chosen = ordering.between(snapshots.select("date", "data"), "date", start, end, limit, ordered=False)
     parsed = chosen.select("date", F.from_json("data", f"struct<features:{features}>").alias("payload"))
     return parsed.select("date", F.posexplode("payload.features").alias("position", "feature"))
 

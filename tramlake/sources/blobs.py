@@ -1,4 +1,4 @@
-"""Payloads as files: one a component and date, on any store that the session's file systems reach."""
+"""Payloads as files: one a node and date, on any store that the session's file systems reach."""
 
 from __future__ import annotations
 
@@ -17,12 +17,12 @@ class Blobs:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
-    def path(self, component: str, date: datetime) -> str:
-        return f"{self.folder}/{component}/{date:%Y-%m-%d_%H-%M-%S}"
+    def path(self, node: str, date: datetime) -> str:
+        return f"{self.folder}/{node}/{date:%Y-%m-%d_%H-%M-%S}"
 
-    def put(self, component: str, date: datetime, data: bytes | str | None) -> str:
+    def put(self, node: str, date: datetime, data: bytes | str | None) -> str:
         """Writes a blob (an empty one for None), over any that is there, and returns its path."""
-        store, place = self._at(path := self.path(component, date))
+        store, place = self._at(path := self.path(node, date))
         stream = store.create(place, True)
         try:
             stream.write(bytearray(data.encode() if isinstance(data, str) else data or b""))

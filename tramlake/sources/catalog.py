@@ -1,4 +1,4 @@
-"""The append-only catalog of snapshots: a time-indexed table a component, with payloads stored once."""
+"""The append-only catalog of snapshots: time-indexed tables, with payloads stored once."""
 
 from __future__ import annotations
 
@@ -13,63 +13,84 @@ SCHEMA = "id bigint, date timestamp_ntz, data string, type string, hash string,
 
 
 class Catalog:
-    """Snapshot tables under one folder: component=.../day=... Parquet. Reads resolve copies and leave tombstones out."""
+    """Snapshot tables under one folder: table=.../day=... Parquet. Reads between times touch the days between them; they leave tombstones
+    out, and resolve copies of the rows that are left after a limit."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _path(self, component: str) -> str:
-        return f"{self.folder}/component={component}"
+    def _path(self, table: str) -> str:
+        return f"{self.folder}/table={table}"
 
-    def create(self, components) -> None:
-        """Makes a table for each component that has none."""
-        for c in components:
-            if not self.exists(c):
-                self.spark.createDataFrame([], SCHEMA).write.mode("append").parquet(self._path(c))
+    def create(self, tables) -> None:
+        """Makes each table that is not there."""
+        for t in tables:
+            if not self.exists(t):
+                self._write(self.spark.createDataFrame([], SCHEMA), t)
 
-    def exists(self, component: str) -> bool:
+    def _write(self, rows: DataFrame, table: str) -> None:
+        rows.withColumn("day", F.date_format("date", "yyyy-MM-dd")).write.mode("append").partitionBy("day").parquet(self._path(table))
+
+    def exists(self, table: str) -> bool:
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._path(component))
+        path = jvm.org.apache.hadoop.fs.Path(self._path(table))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
-    def raw(self, component: str) -> DataFrame:
-        """All rows, copies as pointers, tombstones included."""
-        return self.spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(self._path(component)) if self.exists(component) else self.spark.createDataFrame([], SCHEMA)
+    def raw(self, table: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+        """All rows, copies as pointers, tombstones included; of the days from that of `start` to that of `end`, if given."""
+        if not self.exists(table):
+            return self.spark.createDataFrame([], SCHEMA)
+        rows = self.spark.read.schema(f"{SCHEMA}, day string").parquet(self._path(table))
+        if start is not None:
+            rows = rows.where(F.col("day") >= f"{start:%Y-%m-%d}")
+        if end is not None:
+            rows = rows.where(F.col("day") <= f"{end:%Y-%m-%d}")
+        return rows.drop("day")
+
+    def stored(self, table: str, start: datetime | None = None, end: datetime | None = None, with_null: bool = False) -> DataFrame:
+        """The rows that reads are made of: copies are still pointers."""
+        rows = self.raw(table, start, end)
+        return rows if with_null else matching.without_tombstones(rows)
+
+    def resolved(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows of stored(), with the payloads of copies, in their order."""
+        return matching.resolve_copies(rows, among=self.raw(table))
 
-    def read(self, component: str, with_null: bool = False) -> DataFrame:
-        rows = self.raw(component)
-        return matching.resolve_copies(rows if with_null else matching.without_tombstones(rows))
+    def read(self, table: str, with_null: bool = False) -> DataFrame:
+        return self.resolved(table, self.stored(table, with_null=with_null))
 
-    def latest(self, component: str, with_null: bool = False) -> DataFrame:
-        return ordering.newest(self.read(component, with_null), "date")
+    def _in_order(self, table: str, rows: DataFrame, newest: bool) -> DataFrame:
+        return self.resolved(table, rows).orderBy(F.col("date").desc() if newest else F.col("date").asc())
 
-    def first(self, component: str) -> DataFrame:
-        return ordering.oldest(self.read(component), "date")
+    def latest(self, table: str, with_null: bool = False) -> DataFrame:
+        return self.resolved(table, ordering.newest(self.stored(table, with_null=with_null), "date"))
 
-    def after(self, component: str, date: datetime, n: int | None = None) -> DataFrame:
-        return ordering.after(self.read(component), "date", date, n)
+    def first(self, table: str) -> DataFrame:
+        return self.resolved(table, ordering.oldest(self.stored(table), "date"))
 
-    def before(self, component: str, date: datetime, n: int | None = None) -> DataFrame:
-        return ordering.before(self.read(component), "date", date, n)
+    def after(self, table: str, date: datetime, n: int | None = None) -> DataFrame:
+        return self._in_order(table, ordering.after(self.stored(table, date), "date", date, n, ordered=False), True)
 
-    def between(self, component: str, start: datetime | None = None, end: datetime | None = None, n: int | None = None) -> DataFrame:
-        return ordering.between(self.read(component), "date", start, end, n)
+    def before(self, table: str, date: datetime, n: int | None = None) -> DataFrame:
+        return self._in_order(table, ordering.before(self.stored(table, end=date), "date", date, n, ordered=False), True)
 
-    def within(self, component: str, start: datetime, end: datetime) -> DataFrame:
-        return ordering.within(self.read(component), "date", start, end)
+    def between(self, table: str, start: datetime | None = None, end: datetime | None = None, n: int | None = None) -> DataFrame:
+        return self._in_order(table, ordering.between(self.stored(table, start, end), "date", start, end, n, ordered=False), False)
 
-    def last_date(self, component: str) -> datetime | None:
+    def within(self, table: str, start: datetime, end: datetime) -> DataFrame:
+        return self.resolved(table, ordering.within(self.stored(table, start, end), "date", start, end))
+
+    def last_date(self, table: str) -> datetime | None:
         """Time of the newest row, tombstones included."""
-        return self.raw(component).agg(F.max("date")).first()[0]
-
-    def append(self, component: str, results: DataFrame, kind: str = "json", share: bool = True) -> None:
-        """results: date and data (null for a tombstone), text or bytes; bytes are kept as base64. Ids go on from the largest one; with `share`, a payload that the
-        table has already, or that comes twice, is stored as a pointer. Dates that the table has already are left out, so a
-        run that broke off can be run again."""
-        held = self.raw(component)
-        new = results.join(held.select("date"), "date", "left_anti")
+        return self.raw(table).agg(F.max("date")).first()[0]
+
+    def append(self, table: str, results: DataFrame, kind: str = "json", share: bool = True) -> None:
+        """results: date and data (null for a tombstone), text or bytes; bytes are kept as base64. Every row is added, also one of a date that the table has
+        already, or without a date (which no read between times gives). Ids go on from the largest one, in the order of dates, null dates first; with
+        `share`, a payload that the table has already, or that comes twice, is stored as a pointer. A write that broke off leaves nothing."""
+        held = self.raw(table)
         base = held.agg(F.max("id")).first()[0] or 0
-        numbered = ordering.numbered(new, ["date"], F.date_trunc("day", "date"), "__n").select((F.col("__n") + base).cast("long").alias("id"), "date", "data")
+        numbered = ordering.numbered(results, ["date"], F.date_trunc("day", "date"), "__n").select((F.col("__n") + base).cast("long").alias("id"), "date", "data")
         kept = F.base64("data") if dict(results.dtypes)["data"] == "binary" else F.col("data").cast("string")
         rows = numbered.select("id", "date", kept.alias("data"), F.lit(kind).alias("type"), F.md5(F.col("data").cast("binary")).alias("hash"))
         if share:
@@ -80,12 +101,12 @@ class Catalog:
             rows = rows.select("id", "date", F.when(~copy, F.col("data")).alias("data"), "type", F.when(~copy, F.col("hash")).alias("hash"), F.when(copy, F.col("__to")).alias("copy_id"))
         else:
             rows = rows.withColumn("copy_id", F.lit(None).cast("long"))
-        rows.withColumn("day", F.date_format("date", "yyyy-MM-dd")).write.mode("append").partitionBy("day").parquet(self._path(component))
+        self._write(rows, table)
 
 
-def blob_path(component: str, date: Column) -> Column:
+def blob_path(table: str, date: Column) -> Column:
     """Where a payload is put when it is kept as a file."""
-    return F.concat(F.lit(f"{component}/"), blob_name(date))
+    return F.concat(F.lit(f"{table}/"), blob_name(date))
 
 
 def decoded(rows: DataFrame, kind: str) -> DataFrame:

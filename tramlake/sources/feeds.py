@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tramlake.functions import geo, text
 from tramlake.sources import geojson
@@ -41,6 +41,7 @@ def vehicle_distances(payloads: DataFrame, column: str = "data") -> DataFrame:
 
 def bike_stations(records: DataFrame) -> DataFrame:
     """Stations with a place, renamed."""
+    # Members of the public records and what they are called here.
     names = {
         "number": "number", "name_fr": "name_fr", "name_nl": "name_nl", "address_fr": "address_fr", "address_nl": "address_nl", "mu_fr": "municipality_fr", "mu_nl": "municipality_nl",
         "available_bikes": "available_bikes", "available_bike_stands": "available_bike_stands", "bike_stands": "bike_stands", "last_update": "last_update",
@@ -72,6 +73,7 @@ def air_quality(series: DataFrame) -> DataFrame:
     """Time series flattened, with the station's place; bookkeeping members go."""
     c = F.col("station.geometry.coordinates")
     rows = geojson.flattened(series.withColumn("geometry", geo.point(c[0], c[1])).withColumn("__g", F.lit(1)), 5)
+    # Members that only keep the service's books.
     gone = {"referenceValues", "extras", "station.geometry.type", "station.type", "parameters.service.id", "parameters.service.label", "statusIntervals", "station.geometry.coordinates", "__g", "geometry.x", "geometry.y"}
     kept = [F.col(f"`{n}`") for n in rows.columns if n not in gone]
     return rows.select(*kept, geo.point(F.col("`geometry.x`"), F.col("`geometry.y`")).alias("geometry"))
@@ -80,7 +82,3 @@ def air_quality(series: DataFrame) -> DataFrame:
 def chosen(rows: DataFrame, columns) -> DataFrame:
     """Those of the columns that the table has, in the order asked for."""
     return rows.select(*(c for c in columns if c in rows.columns))
-
-
-def labelled(code: Column, labels: dict) -> Column:
-    return text.mapped(code, labels)

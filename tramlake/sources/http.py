@@ -1,7 +1,7 @@
 """Paginated HTTP sources as Spark data sources.
 
-A transport is a function (url, params, headers) -> (status, bytes). The default one uses the standard library; tests and offline
-runs give their own through register().
+A transport is a function (url, params, headers) -> (status, bytes), and of a fourth argument, form, where it is to post one. The
+default one uses the standard library; tests and offline runs give their own through register().
 """
 
 from __future__ import annotations
@@ -16,16 +16,17 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, Greater
 
 BOX = ("lamin", "lomin", "lamax", "lomax")
 
-Transport = Callable[[str, dict, dict], tuple[int, bytes]]
+Transport = Callable[..., tuple[int, bytes]]
 
 
-def urllib_transport(url: str, params: dict, headers: dict) -> tuple[int, bytes]:
+def urllib_transport(url: str, params: dict, headers: dict, form: dict | None = None) -> tuple[int, bytes]:
     from urllib.error import HTTPError
     from urllib.parse import urlencode
     from urllib.request import Request, urlopen
 
     try:
-        with urlopen(Request(f"{url}?{urlencode(params)}" if params else url, headers=headers), timeout=60) as answer:
+        data = None if form is None else urlencode(form).encode()
+        with urlopen(Request(f"{url}?{urlencode(params)}" if params else url, data, headers), timeout=60) as answer:
             return answer.status, answer.read()
     except HTTPError as error:
         return error.code, error.read()
@@ -42,25 +43,25 @@ def tokens(key: str, environment: dict[str, str] | None = None) -> list[str]:
     return out
 
 
-def fetch(transport: Transport, url: str, params: dict | None = None, headers: dict | None = None) -> bytes:
-    status, body = transport(url, params or {}, headers or {})
+def fetch(transport: Transport, url: str, params: dict | None = None, headers: dict | None = None, form: dict | None = None) -> bytes:
+    status, body = transport(url, params or {}, headers or {}) if form is None else transport(url, params or {}, headers or {}, form)
     if status >= 400:
         raise ValueError(f"{url} answered {status}")
     return body
 
 
-def fetch_with_any(transport: Transport, url: str, keys: list[str], params: dict | None = None, header: str = "Authorization", seed: int | None = None) -> bytes:
-    """The first good answer over the tokens in random order."""
+def fetch_with_any(transport: Transport, url: str, keys: list[str], params: dict | None = None, header: str = "Authorization", seed: int | None = None, parameter: str | None = None) -> bytes:
+    """The first good answer over the tokens in random order, each given in a header, or in a query parameter where one is named."""
     for token in random.Random(seed).sample(keys, len(keys)):
-        status, body = transport(url, params or {}, {header: token})
+        status, body = transport(url, params or {}, {header: token}) if parameter is None else transport(url, (params or {}) | {parameter: token}, {})
         if status < 400:
             return body
     raise ValueError(f"no token gives an answer from {url}")
 
 
 def client_token(transport: Transport, url: str, client: str, secret: str) -> str:
-    """An access token by client credentials."""
-    return json.loads(fetch(transport, url, {"grant_type": "client_credentials", "client_id": client, "client_secret": secret}))["access_token"]
+    """An access token by client credentials, posted as a form: a secret in a URL would end up in logs."""
+    return json.loads(fetch(transport, url, form={"grant_type": "client_credentials", "client_id": client, "client_secret": secret}))["access_token"]
 
 
 def at(value, path: str):
@@ -101,7 +102,7 @@ def body(options: dict, transport: Transport, params: dict, environment: dict[st
     environment = os.environ if environment is None else environment
     params = params | {name: options[name] for name in BOX if name in options}
     if "token_key" in options:
-        return fetch_with_any(transport, options["url"], tokens(options["token_key"], environment), params, options.get("token_header", "Authorization"))
+        return fetch_with_any(transport, options["url"], tokens(options["token_key"], environment), params, options.get("token_header", "Authorization"), parameter=options.get("token_parameter"))
     headers = {}
     if "token_url" in options:
         token = client_token(transport, options["token_url"], environment[options["client_key"]], environment[options["secret_key"]])
@@ -157,7 +158,7 @@ class Reader(DataSourceReader):
 
 def register(spark: SparkSession, transport: Transport = urllib_transport, name: str = "http_json", environment: dict[str, str] | None = None) -> None:
     """Makes spark.read.format(name) read JSON over HTTP. Options: url, pagination (none, offset, page), page_size, results, total,
-    token_key (environment variables KEY, KEY_1, ...), token_header, token_url with client_key and secret_key (names of environment
+    token_key (environment variables KEY, KEY_1, ...), token_header or token_parameter, token_url with client_key and secret_key (names of environment
     variables), lamin, lomin, lamax, lomax, body (binary: one row, column content)."""
 
     class HttpJson(DataSource):

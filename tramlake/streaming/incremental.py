@@ -1,4 +1,4 @@
-"""Watermarks of incremental transformations: what a component has done already, and what it may begin with."""
+"""Watermarks of incremental transformations: what a node has done already, and what it may begin with."""
 
 from __future__ import annotations
 

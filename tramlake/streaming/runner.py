@@ -1,4 +1,4 @@
-"""Running components: collecting, deriving slice by slice with as-of dependencies, and streams over the catalog."""
+"""Running nodes: collecting, deriving slice by slice with as-of dependencies, and streams over the catalog."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from tramlake.functions.time import moment, schedule
-from tramlake.plans.components import Component
+from tramlake.plans.nodes import Node
 from tramlake.sources.catalog import Catalog
 from tramlake.streaming import incremental
 
@@ -18,71 +18,73 @@ log = logging.getLogger(__name__)
 IDLE, AFTER_ERROR, COMPACTION = 5, 60, 60
 
 
-def collect(catalog: Catalog, component: Component, now: datetime) -> bool:
+def collect(catalog: Catalog, node: Node, now: datetime) -> bool:
     """Runs a collector once and appends what it returns, a text or nothing."""
-    value = component.load()()
+    value = node.load()()
     if value is None:
         return False
     row = catalog.spark.createDataFrame([(now, value)], "date timestamp_ntz, data string")
-    catalog.append(component.name, row, component.data_type)
+    catalog.append(node.name, row, node.data_type)
     return True
 
 
-def dependencies(catalog: Catalog, component: Component, at: datetime) -> dict[str, DataFrame | None]:
+def dependencies(catalog: Catalog, node: Node, at: datetime) -> dict[str, DataFrame | None]:
     """For each edge the latest rows strictly before a time. Of a required single row that is missing, the latest of all is taken, even a
     later one; a required table without rows is an error, an optional one is None."""
     out: dict[str, DataFrame | None] = {}
-    for edges, required in ((component.dependencies, True), (component.optional, False)):
+    for edges, required in ((node.dependencies, True), (node.optional, False)):
         for name, n in edges:
             rows = catalog.before(name, at, n)
             if rows.isEmpty():
                 rows = catalog.latest(name) if required and n == 1 else None
                 if required and (rows is None or rows.isEmpty()):
-                    raise LookupError(f"{component.name}: {name} has no rows")
+                    raise LookupError(f"{node.name}: {name} has no rows")
             out[name] = rows
     return out
 
 
-def watermark(catalog: Catalog, component: Component) -> datetime | None:
+def watermark(catalog: Catalog, node: Node) -> datetime | None:
     """From when on the source is to be read; None while a required dependency is empty."""
-    held = catalog.raw(component.name)
-    table = lambda edges: [catalog.read(n).select("date") for n, _ in edges if n != component.name]
+    held = catalog.raw(node.name)
+    table = lambda edges: [catalog.stored(n).select("date") for n, _ in edges if n != node.name]
     output = held.select("date") if not held.isEmpty() else None
-    row = incremental.starting_watermark(catalog.read(component.source).select("date"), output, table(component.dependencies), table(component.optional), "date").first()
+    row = incremental.starting_watermark(catalog.stored(node.source).select("date"), output, table(node.dependencies), table(node.optional), "date").first()
     return row[0] if row else None
 
 
-def derive(catalog: Catalog, component: Component) -> bool:
+def derive(catalog: Catalog, node: Node) -> bool:
     """Transforms the next slice of the source; False if it is not there yet.
 
-    The component's function gets the source rows and its dependencies by name and returns rows of data (and, with several
+    The node's function gets the source rows and its dependencies by name and returns rows of data (and, with several
     results, the date of each). Where no result has the slice's last date, a tombstone marks there that the slice is done.
     """
-    start = watermark(catalog, component)
+    start = watermark(catalog, node)
     if start is None:
         return False
-    rows = incremental.next_slice(catalog.read(component.source), start, component.source_range, component.strict)
+    source = catalog.stored(node.source, incremental.plan_range(start, node.source_range)[0])
+    rows = incremental.next_slice(source, start, node.source_range, node.strict)
     if rows is None:
         return False
+    rows = catalog.resolved(node.source, rows)
     last = rows.agg(F.max("date")).first()[0]
     if last is None:
-        _, last, _ = incremental.plan_range(start, component.source_range)
-    result = component.load()(rows, **dependencies(catalog, component, last))
-    if result is not None and not (component.multiple and "date" in result.columns):
+        _, last, _ = incremental.plan_range(start, node.source_range)
+    result = node.load()(rows, **dependencies(catalog, node, last))
+    if result is not None and not (node.multiple and "date" in result.columns):
         result = result.select(moment(last).alias("date"), "data")
     done = catalog.spark.createDataFrame([(last, None)], "date timestamp_ntz, data string")
     if result is None or result.isEmpty():
         result = done
-    elif component.multiple and result.where(F.col("date") == moment(last)).isEmpty():
+    elif node.multiple and result.where(F.col("date") == moment(last)).isEmpty():
         result = result.select("date", "data").union(done)
-    catalog.append(component.name, result.select("date", "data"), component.data_type)
+    catalog.append(node.name, result.select("date", "data"), node.data_type)
     return True
 
 
-def derive_all(catalog: Catalog, component: Component) -> int:
+def derive_all(catalog: Catalog, node: Node) -> int:
     """Slices until the source is used up; returns their number."""
     n = 0
-    while derive(catalog, component):
+    while derive(catalog, node):
         n += 1
     return n
 
