@@ -199,7 +199,7 @@ class Archive:
         manifest = counted.join(parts, "start_date", "left").join(whole, "start_date", "left").select(
             F.lit(level).alias("level"), "start_date", (F.col("start_date") + F.expr(f"INTERVAL '{int(delta.total_seconds())}' SECOND")).alias("end_date"), "doc_count",
             F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"), "skipped",
-            F.coalesce(F.floor(F.col("size") / F.col("rows") * F.col("row_count")), F.col("size")).cast("long").alias("original_size"),
+            F.coalesce(F.floor(F.col("size") * F.col("row_count") / F.col("rows")), F.col("size")).cast("long").alias("original_size"),
             (F.create_map(*(x for k in keys for x in (F.lit(k), F.col(k).cast("string")))) if keys else F.lit(None).cast("map<string,string>")).alias("keys"),
             F.concat(F.lit(f"{folder}/level={level}/start="), F.date_format("start_date", "yyyy-MM-dd_HH-mm-ss")).alias("data"),
         ).where("row_count > 0 OR skipped > 0")
