@@ -1,7 +1,7 @@
 """From raw documents to a training mix, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps, which is written as Parquet and read again as the next one's docs;
-all but the last return the columns of documents.
+all but the last return the columns of documents. The stages, and what they do with odd rows, are in tramlake.llm.stages.
 """
 
 from __future__ import annotations
@@ -10,41 +10,15 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramlake.llm import decontaminate, langid, mixing, quality, simhash
+from tramlake.llm import stages
 from tramlake.llm.common import shared_dir, table
 
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, and texts whose language is ambiguous, go."""
-    return langid.known(docs)
-
-
-def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that score below the quality threshold go; the labels of the documents that are left teach the classifier."""
-    return quality.good(docs, table(spark, sf_dir, "labels"))
-
-
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
-    return simhash.first_of_each(docs)
-
-
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by benchmark items go."""
-    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
-
-
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the training mix takes."""
-    return mixing.query(docs)
-
-
 STAGES = [
-    ("language ID", language),
-    ("quality classifier", good_quality),
-    ("SimHash near-dedup", one_of_each),
-    ("benchmark decontamination", decontaminated),
-    ("mixing sources", mixed),
+    ("language ID", stages.language),
+    ("quality classifier", stages.good_quality),
+    ("SimHash near-dedup", stages.one_of_each),
+    ("benchmark decontamination", stages.decontaminated),
+    ("mixing sources", stages.mixed),
 ]
 #: Trained stages can't be said in SQL.
 ORACLE_SQL = None
