@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -21,9 +22,9 @@ def library(text):
 
 def counts(texts):
     """Tokens of each text by block(), without Spark."""
-    tokens, entries, begin = T.block(pa.array(texts, pa.string()), T.Splitter(LIBRARY, SPECIAL))
-    n = [T.pieces(LIBRARY, t) for t in tokens]
-    return [sum(n[e >> T.SHIFT] * (e & (1 << T.SHIFT) - 1) for e in entries[a:b].tolist()) for a, b in zip(begin, begin[1:], strict=False)]
+    tokens, place, n, begin = T.block(pa.array(texts, pa.string()), T.Splitter(LIBRARY, SPECIAL))
+    sizes = np.array([T.pieces(LIBRARY, t) for t in tokens], np.int64)
+    return T.totals(*T.frequencies(place, n, begin), sizes).tolist()
 
 
 def test_odd_texts_as_the_library_counts_them():
@@ -40,14 +41,21 @@ def test_high_frequencies_and_bounded_memory_change_nothing(monkeypatch):
     texts = [f"w{k} w{k % 7} some words {'long' * 30}" for k in range(200)] + ["a b " * 5000]
     want = [library(t) for t in texts]
     monkeypatch.setattr(T, "KEPT", 10)
+    monkeypatch.setattr(T, "AT_ONCE", 7)
     assert counts(texts) == want
-    monkeypatch.setattr(T, "SHIFT", 5)
-    assert counts(texts) == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 1 << 50), max_size=5), max_size=6))
+def test_packed_numbers_come_back(lists):
+    begin = np.cumsum([0, *map(len, lists)])
+    values, again = T.unpacked(T.packed(np.array([x for v in lists for x in v], np.int64), begin))
+    assert values.tolist() == [x for v in lists for x in v] and again.tolist() == begin.tolist()
 
 
 def test_a_pre_token_is_one_entry_of_a_text():
-    _, entries, begin = T.block(pa.array(["it's it's, it", "", "it"]), T.Splitter(LIBRARY, SPECIAL))
-    assert begin.tolist() == [0, 3, 3, 4] and sorted(e & (1 << T.SHIFT) - 1 for e in entries.tolist()) == [1, 1, 2, 3]
+    _, place, n, begin = T.block(pa.array(["it's it's, it", "", "it"]), T.Splitter(LIBRARY, SPECIAL))
+    assert begin.tolist() == [0, 3, 3, 4] and sorted(n.tolist()) == [1, 1, 2, 3]
 
 
 def test_tokenizers_that_carry_white_space_are_refused(spark):
@@ -64,7 +72,7 @@ def test_blocks_change_nothing(spark, sf):
 
 def test_plan_joins_pre_tokens_and_counts_each_once(spark, sf):
     plan = T.query(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") == 1 and "Join" in plan
+    assert plan.count("MapInArrow") == 2 and "Join" in plan
 
 
 def test_query(spark, sf):

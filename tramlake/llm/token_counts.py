@@ -3,12 +3,12 @@
 The library makes tokens of a text in two steps: normalizer and splitting pattern make pre-tokens, and its model cuts each
 pre-token into pieces by itself. So a text's count is the sum over its distinct pre-tokens of frequency times pieces:
 
-1. One map cuts the documents into blocks of up to BLOCK_TEXT bytes. A block is a row: its distinct pre-tokens, and of each document the
-   frequencies of its pre-tokens, by their place in that list. Pre-tokens never cross white space, so texts are split there by Arrow and
-   the library splits only the runs that are new to a task. The blocks are written once.
-2. The distinct pre-tokens of all blocks (combined before the shuffle) go through the library's model, each once.
-3. Their pieces are joined back to the blocks' lists, which are a small part of the text: a pre-token is a row a block, however often it
-   occurs in it. The pieces are put in the order of each list, joined to the block, and summed over the documents' frequencies.
+1. One map cuts the documents into blocks of up to BLOCK_TEXT bytes. A block has a list of its distinct pre-tokens; each of its documents
+   has the frequencies of its pre-tokens by their place in that list, some two bytes for each. Pre-tokens never cross white space, so
+   texts are split there by Arrow and the library splits only the runs that are new to a task. Lists and frequencies are written once.
+2. The distinct pre-tokens of all lists (combined before the shuffle) go through the library's model, each once.
+3. Their pieces are joined back to the lists, which are a small part of the text: a pre-token is a row a block, however often it
+   occurs in it. A block's pieces, a row, and its documents meet in a task that sums over the frequencies, document by document.
 
 Nothing is shuffled that has a row a document and pre-token, and no token id is made.
 
@@ -26,7 +26,8 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tramlake.llm.common import as_bytes, shared_dir
 
@@ -34,9 +35,9 @@ LIMIT = 2048
 #: The tokenizer file goes to the executors whole; one that is larger than this is refused.
 FILE_BYTES = 64 << 20
 #: Bytes of text in a block; runs whose pre-tokens a task keeps, and the longest run that it keeps.
-BLOCK_TEXT, KEPT, KEPT_BYTES = 8 << 20, 300_000, 48
-#: A frequency entry is place << SHIFT | frequency; a higher frequency takes several entries.
-SHIFT = 20
+BLOCK_TEXT, KEPT, KEPT_BYTES = 8 << 20, 100_000, 48
+#: Runs that are split by the library at once.
+AT_ONCE = 20_000
 #: What is in front of a run that holds a special string, in the place of a pre-token.
 WHOLE = "\x00"
 #: Texts that a tokenizer must count as the sum over what lies between white space.
@@ -85,22 +86,36 @@ class Splitter:
     def __init__(self, tokenizer, special: list[str]):
         self.tokenizer, self.special, self.kept = tokenizer, special, {}
 
+    def together(self, runs: list[str]) -> list[list[str]]:
+        """The pre-tokens of several runs by one call; runs with special strings or white space of other kinds are split one by one."""
+        plain = [r for r in runs if len(r.split()) == 1 and not any(x in r for x in self.special)]
+        joined = " ".join(plain)
+        joined = self.tokenizer.normalizer.normalize_str(joined) if self.tokenizer.normalizer else joined
+        parts = joined.split(" ")
+        if not self.tokenizer.pre_tokenizer or len(parts) != len(plain):
+            return [pre_tokens(self.tokenizer, self.special, r) for r in runs]
+        found = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined)
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        stops = np.searchsorted([at for _, (at, _) in found], ends).tolist()
+        tokens = [t for t, _ in found]
+        own = dict(zip(plain, (tokens[a:b] for a, b in zip([0, *stops], stops, strict=False)), strict=True))
+        return [own[r] if r in own else pre_tokens(self.tokenizer, self.special, r) for r in runs]
+
     def __call__(self, runs: list[str]) -> list[list[str]]:
         if len(self.kept) > KEPT:
             self.kept.clear()
-        out = []
-        for run in runs:
-            found = self.kept.get(run)
-            if found is None:
-                found = pre_tokens(self.tokenizer, self.special, run)
-                if len(run) <= KEPT_BYTES:
-                    self.kept[run] = found
-            out.append(found)
+        new = [r for r in runs if r not in self.kept]
+        found = {}
+        for k in range(0, len(new), AT_ONCE):
+            part = new[k : k + AT_ONCE]
+            found.update(zip(part, self.together(part), strict=True))
+        out = [found[r] if r in found else self.kept[r] for r in runs]
+        self.kept.update((r, t) for r, t in found.items() if len(r) <= KEPT_BYTES)
         return out
 
 
-def block(texts: pa.Array, split: Splitter) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The distinct pre-tokens of texts, the frequency entries of all texts one after the other, and where each text's begin."""
+def block(texts: pa.Array, split: Splitter) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pre-tokens of texts; of all texts one after the other the places (rising) and frequencies of their pre-tokens, and where each text's begin."""
     words = pc.ascii_split_whitespace(texts)
     sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = pc.dictionary_encode(words.flatten())
@@ -110,22 +125,62 @@ def block(texts: pa.Array, split: Splitter) -> tuple[list[str], np.ndarray, np.n
     width = np.array([len(f) for f in found], np.int64)
     first = np.cumsum(width) - width
     flat = np.fromiter((k for f in found for k in f), np.int64, int(width.sum()))
-    run, text = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(texts)), sizes)
     # Runs of a text are counted before they are replaced by their pre-tokens, which are then counted again.
-    key, n = np.unique(text * max(1, len(runs)) + run, return_counts=True)
-    text, run = key // max(1, len(runs)), key % max(1, len(runs))
+    many = max(1, len(runs))
+    key, n = np.unique(np.repeat(np.arange(len(texts)) * many, sizes) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    text, run = key // many, key % many
     own = np.repeat(np.arange(len(run)), width[run])
-    at = np.arange(len(own)) - np.repeat(np.cumsum(width[run]) - width[run], width[run]) + first[run][own]
-    key, back = np.unique(text[own] * max(1, len(tokens)) + flat[at], return_inverse=True)
+    at = np.arange(len(own)) - np.repeat(np.cumsum(width[run]) - width[run] - first[run], width[run])
+    many = max(1, len(tokens))
+    key, back = np.unique(text[own] * many + flat[at], return_inverse=True)
     n = np.bincount(back, n[own], len(key)).astype(np.int64)
-    text, place = key // max(1, len(tokens)), key % max(1, len(tokens))
-    most = (1 << SHIFT) - 1
-    times = -(-n // most)
-    if (times > 1).any():
-        own = np.repeat(np.arange(len(n)), times)
-        number = np.arange(len(own)) - np.repeat(np.cumsum(times) - times, times)
-        text, place, n = text[own], place[own], np.minimum(most, n[own] - number * most)
-    return [*tokens], place << SHIFT | n, np.searchsorted(text, np.arange(len(texts) + 1))
+    return [*tokens], key % many, n, np.searchsorted(key // many, np.arange(len(texts) + 1))
+
+
+def packed(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """Numbers of 0 or more, seven bits a byte with the last byte of each below 128, as one binary value a range of `begin`."""
+    size = np.ones(len(values), np.int64)
+    for k in range(1, 9):
+        size += values >> 7 * k > 0
+    stop = np.cumsum(size)
+    out = np.zeros(int(stop[-1]) if len(stop) else 0, np.uint8)
+    for k in range(int(size.max(initial=0))):
+        here = size > k
+        out[stop[here] - size[here] + k] = (values[here] >> 7 * k & 127) | np.where(size[here] > k + 1, 128, 0)
+    edges = np.concatenate(([0], stop))[begin]
+    return pa.Array.from_buffers(pa.binary(), len(begin) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(out)])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all packed() values one after the other, and where each value's begin."""
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    last = data < 128
+    stop = np.flatnonzero(last) + 1
+    start = np.concatenate(([0], stop))[:-1]
+    shift = (np.arange(len(data)) - np.repeat(start, stop - start)) * 7
+    values = np.add.reduceat((data & 127).astype(np.int64) << shift, start) if len(data) else np.empty(0, np.int64)
+    sizes = np.array([len(x) for x in column.to_pylist()], np.int64)
+    return values, np.concatenate(([0], np.cumsum(last)))[np.concatenate(([0], np.cumsum(sizes)))]
+
+
+def frequencies(place: np.ndarray, n: np.ndarray, begin: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Packed: of each text the steps from place to place, twice, and one more where the frequency is not 1; and those frequencies."""
+    step = np.diff(place, prepend=0)
+    head = begin[:-1][begin[:-1] < begin[1:]]
+    step[head] = place[head]
+    often = n > 1
+    return packed(step * 2 + often, begin), packed(n[often], np.concatenate(([0], np.cumsum(often)))[begin])
+
+
+def totals(entries: pa.Array, more: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """Of each text the sum of frequency times pieces; sizes: the pieces of the block's pre-tokens by place."""
+    step, begin = unpacked(entries)
+    place = np.cumsum(step >> 1)
+    place -= np.repeat(np.concatenate(([0], place))[begin[:-1]], np.diff(begin))
+    n = np.ones(len(step), np.int64)
+    n[step & 1 > 0] = unpacked(more)[0]
+    total = np.concatenate(([0], np.cumsum(sizes[place] * n)))
+    return total[begin[1:]] - total[begin[:-1]]
 
 
 def cuts(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
@@ -142,11 +197,11 @@ def cuts(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
 
 
 def blocks(docs: DataFrame, shared, block_text: int) -> DataFrame:
-    """A row a block: block (its name), vocabulary (its distinct pre-tokens) and docs (doc_id, n_bytes and entries of each document)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """Rows of two kinds: a block's list (block, vocabulary), and its documents (block, doc_id, n_bytes, entries and more as frequencies() has them)."""
+    kind = docs.schema["doc_id"].dataType
 
     def cut_up(batches):
-        split = Splitter(*loaded(shared.value))
+        split, place, number = Splitter(*loaded(shared.value)), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column("text")
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
@@ -155,15 +210,20 @@ def blocks(docs: DataFrame, shared, block_text: int) -> DataFrame:
             except pa.ArrowInvalid:  # bytes that are no UTF-8
                 texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
             for a, b in cuts(sizes, block_text):
-                tokens, entries, begin = block(texts.slice(a, b - a), split)
-                listed = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(entries, pa.int64()))
-                rows = pa.StructArray.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(sizes[a:b], pa.int64()), listed], names=["doc_id", "n_bytes", "entries"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([uuid4().hex]), pa.array([tokens], pa.list_(pa.string())), pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), rows)], names=["block", "vocabulary", "docs"]
-                )
-
-    texts = docs.select("doc_id", as_bytes("text").alias("text"))
-    return texts.mapInArrow(cut_up, f"block string, vocabulary array<string>, docs array<struct<doc_id:{kind},n_bytes:bigint,entries:array<bigint>>>")
+                tokens, at, n, begin = block(texts.slice(a, b - a), split)
+                entries, more = frequencies(at, n, begin)
+                own, ids = pa.array([place << 32 | number] * (b - a), pa.int64()), batch.column("doc_id").slice(a, b - a)
+                none = pa.nulls(b - a, pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([own, none, ids, pa.array(sizes[a:b], pa.int64()), entries, more], names=names)
+                if tokens:
+                    cells = [pa.nulls(1, t) for t in (ids.type, pa.int64(), pa.binary(), pa.binary())]
+                    yield pa.RecordBatch.from_arrays([own.slice(0, 1), pa.array([tokens], pa.list_(pa.string())), *cells], names=names)
+                number += 1
+
+    names = ["block", "vocabulary", "doc_id", "n_bytes", "entries", "more"]
+    schema = T.StructType.fromDDL("block bigint, vocabulary array<string>, doc_id int, n_bytes bigint, entries binary, more binary")
+    schema["doc_id"].dataType = kind
+    return docs.select("doc_id", as_bytes("text").alias("text")).mapInArrow(cut_up, schema)
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_text: int = BLOCK_TEXT) -> DataFrame:
@@ -182,16 +242,37 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_text: int
             n = [pieces(tokenizer, t) for t in batch.column("token").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("token"), pa.array(n, pa.int64())], names=["token", "pieces"])
 
-    # A table and not a checkpoint: its integers take a third of the room.
+    def summed(batches):
+        """Rows sorted by block, a block's pieces first, to the counts of its documents."""
+        now, sizes = None, np.empty(0, np.int64)
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            found = batch.column("found").is_valid().to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((block[1:] != block[:-1]) | found[1:] | found[:-1]) + 1).tolist(), len(block)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if found[a]:
+                    pairs = batch.column("found")[a].values.to_numpy()
+                    now, sizes = block[a], np.zeros(len(pairs), np.int64)
+                    sizes[pairs >> 32] = pairs & (1 << 32) - 1
+                    continue
+                part = batch.slice(a, b - a)
+                n = totals(part.column("entries"), part.column("more"), sizes if now == block[a] else np.empty(0, np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+
+    # A table and not a checkpoint, which would take several times the room.
     folder = f"{shared_dir(spark)}/tokens-{uuid4().hex}"
     blocks(docs, shared, block_text).write.parquet(folder)
     held = spark.read.parquet(folder)
-    listed = held.select("block", F.posexplode("vocabulary").alias("place", "token"))
+    listed = held.where("vocabulary IS NOT NULL").select("block", F.posexplode("vocabulary").alias("place", "token"))
     known = listed.select("token").distinct().mapInArrow(counted, "token string, pieces bigint")
-    found = listed.join(known, "token").groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "pieces"))), lambda x: x["pieces"]).alias("pieces"))
-    total = lambda entries: F.aggregate(entries, F.lit(0).cast("long"), lambda s, e: s + F.get("pieces", F.shiftright(e, SHIFT).cast("int")) * e.bitwiseAND((1 << SHIFT) - 1))
-    rows = held.select("block", "docs").join(found, "block", "left").select(F.transform("docs", lambda d: F.struct(d["doc_id"], d["n_bytes"], total(d["entries"]).alias("n_tokens"))).alias("docs"))
-    return rows.select(F.inline("docs")).withColumn("over_limit", F.col("n_tokens") > limit)
+    pair = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("pieces"))
+    found = listed.join(known, "token").groupBy("block").agg(F.collect_list(pair).alias("found"))
+    rows = held.where("n_bytes IS NOT NULL").drop("vocabulary").unionByName(found, allowMissingColumns=True)
+    rows = rows.repartition("block").sortWithinPartitions("block", F.col("found").isNull())
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL("n_bytes bigint, n_tokens bigint").fields])
+    return rows.mapInArrow(summed, schema).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def query(docs: DataFrame) -> DataFrame:
