@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from threading import Event, Timer
+from uuid import uuid4
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tramlake.functions import geo, time
 from tramlake.operators import ordering
@@ -80,9 +83,52 @@ def schedule(feed: dict[str, DataFrame], start: int, end: int, zone: str = ZONE)
     return out.withColumn("geometry", geo.point(F.col("stop_lon"), F.col("stop_lat")))
 
 
-def schedule_at(snapshots: DataFrame, start: int, end: int, zone: str = ZONE) -> DataFrame | None:
-    """schedule() by the newest feed before the end, of a catalog table of timetable zips; None if there is none."""
+def within_time(spark: SparkSession, seconds: float, action: Callable):
+    """The result of an action, or None if its jobs were not done in time and had to be cancelled."""
+    sc, group = spark.sparkContext, uuid4().hex
+    sc.setJobGroup(group, "within a time limit", interruptOnCancel=True)
+    late = Event()
+    timer = Timer(seconds, lambda: (late.set(), sc.cancelJobGroup(group)))
+    timer.start()
+    try:
+        result = action()
+        return None if late.is_set() else result
+    except Exception:
+        if late.is_set():
+            return None
+        raise
+    finally:
+        timer.cancel()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+class Feeds:
+    """Timetable zips of a catalog table as Parquet, each converted once; the `most` last used ones are known."""
+
+    def __init__(self, spark: SparkSession, folder: str, most: int = 32, seconds: float = 1800.0):
+        self.spark, self.folder, self.most, self.seconds = spark, folder, most, seconds
+        self.known: dict[str, list[str]] = {}
+
+    def tables(self, newest: DataFrame) -> dict[str, DataFrame] | None:
+        """The tables of the one row's zip; None if its conversion takes too long."""
+        key = newest.select(F.md5(F.col("data").cast("binary"))).first()[0]
+        names = self.known.pop(key, None)
+        if names is None:
+            feed, folder = archives.gtfs_from_zip(newest.select(F.unbase64("data").alias("content"))), f"{self.folder}/{key}-{uuid4().hex}"
+            names = within_time(self.spark, self.seconds, lambda: archives.gtfs_to_parquet(feed, folder) or [folder, *feed])
+            if names is None:
+                return None
+        self.known[key] = names
+        while len(self.known) > self.most:
+            del self.known[next(iter(self.known))]
+        return archives.gtfs_from_parquet(self.spark, names[0], names[1:])
+
+
+def schedule_at(snapshots: DataFrame, start: int, end: int, zone: str = ZONE, feeds: Feeds | None = None) -> DataFrame | None:
+    """schedule() by the newest feed before the end, of a catalog table of timetable zips; None if there is none. `feeds` spares
+    questions of the same feed its conversion."""
     newest = ordering.before(snapshots, "date", datetime(1970, 1, 1) + timedelta(seconds=end), 1)
     if newest.isEmpty():
         return None
-    return schedule(archives.gtfs_from_zip(newest.select(F.unbase64("data").alias("content"))), start, end, zone)
+    feed = feeds.tables(newest) if feeds else archives.gtfs_from_zip(newest.select(F.unbase64("data").alias("content")))
+    return None if feed is None else schedule(feed, start, end, zone)

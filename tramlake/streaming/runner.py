@@ -89,12 +89,12 @@ def derive_all(catalog: Catalog, node: Node) -> int:
     return n
 
 
-def loop(step: Callable[[], bool], stop: Callable[[], bool], sleep: Callable[[float], None] = time.sleep) -> None:
-    """Repeats a step at once while it does something, after IDLE seconds if not, and after AFTER_ERROR if it failed."""
+def loop(step: Callable[[], bool], stop: Callable[[], bool], sleep: Callable[[float], object] = time.sleep, idle: float = IDLE) -> None:
+    """Repeats a step at once while it does something, after `idle` seconds if not, and after AFTER_ERROR if it failed."""
     while not stop():
         try:
             if not step():
-                sleep(IDLE)
+                sleep(idle)
         except Exception:
             log.exception("a step failed")
             sleep(AFTER_ERROR)
