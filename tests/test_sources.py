@@ -3,12 +3,13 @@ import json
 import struct
 import threading
 import zipfile
+from datetime import datetime
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
 
-from tramlake.sources import archives, feeds, geojson, http
+from tramlake.sources import archives, collectors, feeds, geojson, http
 from tramlake.sources.blobs import Blobs
 
 
@@ -114,6 +115,32 @@ def test_bounds_reach_the_request(spark, tmp_path):
     assert json.loads((tmp_path / "asked").read_text()) == {"lamin": "49.5", "lamax": "51.5", "lomin": "2.5"}
 
 
+def test_feeds_by_their_options():
+    from pathlib import Path
+
+    from tramlake.plans import nodes
+    from tramlake.streaming import runner
+
+    found = nodes.load(str(Path(feeds.__file__).parents[2] / "feeds"))
+    assert len(found) == 13 and all(n.load() and next(runner.due_times(n.schedule, datetime(2024, 1, 1))) for n in found.values())
+    asked = []
+
+    def transport(url, params, headers, form=None):
+        asked.append((url, params, headers))
+        if form:
+            return 200, json.dumps({"access_token": form["client_secret"]}).encode()
+        rows = [{"n": k} for k in range(7)]
+        at, size = params.get("offset", params.get("page", 0) * params.get("size", 0)), params.get("limit", params.get("size", 9))
+        return 200, json.dumps({"total_count": 7, "results": rows[at : at + size], "_embedded": {"response": rows[at : at + size]}, "page": {"totalPages": -(-7 // size)}}).encode()
+
+    secrets = {"OPENSKY_CLIENT_ID": "i", "OPENSKY_CLIENT_SECRET": "s", "OPENWEATHER_API_KEY": "w"}
+    got = {name: json.loads(n.load()(transport=transport, environment=secrets)) for name, n in found.items()}
+    assert [r["n"] for r in got["city_incidents"]] == [r["n"] for r in got["city_bike_stations"]] == [*range(7)] and got["micromobility_bolt_zones"]["total_count"] == 7
+    by = {u.rpartition("/")[2]: (p, h) for u, p, h in asked}
+    assert by["weather"][0]["appid"] == "w" and by["all"] == ({"lamin": "49", "lomin": "2", "lamax": "52", "lomax": "7"}, {"Authorization": "Bearer s"})
+    assert collectors.fetched("u", body="binary", transport=lambda *_: (200, b"\x00")) == b"\x00"
+
+
 def test_blobs(spark, tmp_path):
     from datetime import datetime
 

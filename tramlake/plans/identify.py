@@ -165,8 +165,11 @@ class Group:
                 yield i, name or md5(f"{self.line}|{trip[0]}|{self.t[trip[0]]:.12f}|{self.d[trip[0]]:.12f}".encode()).hexdigest()
 
 
-def identify(rows: DataFrame, compat: bool = False) -> DataFrame:
-    """rows: row_id, lineId, direction, timestamp (seconds), distance, uuid (null where not yet known). Adds the uuid of each row."""
+def identify(rows: DataFrame, compat: bool = False, seconds: float | None = None) -> DataFrame:
+    """rows: row_id, lineId, direction, timestamp (seconds), distance, uuid (null where not yet known). Adds the uuid of each row.
+
+    `seconds` cuts time into slices that are judged one by one, so that a group does not grow with the table.
+    """
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["timestamp", "distance", "row_id"]).reset_index(drop=True)
@@ -178,7 +181,8 @@ def identify(rows: DataFrame, compat: bool = False) -> DataFrame:
         return pd.DataFrame({"lineId": pdf["lineId"], "direction": pdf["direction"], "row_id": pdf["row_id"], "uuid": names})
 
     slim = rows.select("row_id", F.col("lineId").cast("string").alias("lineId"), F.col("direction").cast("int").alias("direction"), "timestamp", "distance", F.col("uuid").cast("string").alias("uuid"))
-    return slim.groupBy("lineId", "direction").applyInPandas(group, RESULT)
+    part = F.lit(0).cast("long") if seconds is None else F.floor(F.col("timestamp") / seconds)
+    return slim.withColumn("slice", part).groupBy("lineId", "direction", "slice").applyInPandas(group, RESULT)
 
 
 def with_distance(rows: DataFrame, shapes: DataFrame) -> DataFrame:

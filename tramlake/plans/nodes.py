@@ -5,6 +5,7 @@ from __future__ import annotations
 import tomllib
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 from graphlib import TopologicalSorter
 from importlib import import_module
 from pathlib import Path
@@ -31,13 +32,16 @@ class Node:
     parameters: dict[str, str] = field(default_factory=dict)
     levels: list[tuple[str, list[str]]] = field(default_factory=list)
     item_types: dict[str, str] = field(default_factory=dict)
+    options: dict = field(default_factory=dict)
 
     def load(self) -> Callable:
-        """The function to run: itself, or what a path module:name names."""
+        """The function to run, with the node's options: itself, or what a path module:name names."""
         if callable(self.run):
-            return self.run
-        module, _, name = (self.run or "").partition(":")
-        return getattr(import_module(module), name)
+            found = self.run
+        else:
+            module, _, name = (self.run or "").partition(":")
+            found = getattr(import_module(module), name)
+        return partial(found, **self.options) if self.options else found
 
 
 def qualified(file: str, name: str) -> str:
@@ -79,7 +83,7 @@ def _node(file: str, kind: str, entry: dict) -> Node:
         name=f"{file}_{e['name']}", kind=kind, run=e.get("run"), data_type=e.get("data_type", "json"), data_format=e.get("data_format", ""), schedule=e.get("schedule"),
         source=qualified(file, e["source"]) if e.get("source") else None, source_range=e.get("source_range", 1), strict=e.get("source_range_strict", True), multiple=e.get("multiple_results", False),
         dependencies=_edges(file, e.get("dependencies", []), e.get("dependencies_limit")), optional=_edges(file, e.get("optional_dependencies", []), e.get("optional_dependencies_limit")),
-        parameters=e.get("query_parameters", {}), levels=levels, item_types=batch.get("types", {}),
+        parameters=e.get("query_parameters", {}), levels=levels, item_types=batch.get("types", {}), options=e.get("options", {}),
     )
 
 

@@ -756,10 +756,10 @@ SQL["stream_totals"] = "SELECT date_trunc('week', ts)::TIMESTAMP AS week, event_
 
 @query()
 def identify_vehicles(events):
-    """Events as observations of vehicles: a line a user, a direction a kind of event, metres from the value."""
+    """Events as observations of vehicles: a line a user, a direction a kind of event, metres from the value; day by day."""
     first = time.moment(datetime(2024, 1, 1))
     rows = events.select(
         F.col("event_id").alias("row_id"), F.col("user_id").cast("string").alias("lineId"), F.when(F.col("event_type") == "click", 1).otherwise(2).alias("direction"),
         F.timestamp_diff("SECOND", first, F.col("ts")).cast("double").alias("timestamp"), (F.col("value") * 100).alias("distance"), F.lit(None).cast("string").alias("uuid"),
     )
-    return identify.identify(rows)
+    return identify.identify(rows, seconds=86400.0)
