@@ -70,9 +70,30 @@ def test_blocks_change_nothing(spark, sf):
     assert sorted(T.count_tokens(docs, path, block_text=3000).collect()) == sorted(T.count_tokens(docs, path).collect())
 
 
-def test_plan_joins_pre_tokens_and_counts_each_once(spark, sf):
-    plan = T.query(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") == 2 and "Join" in plan
+def test_each_distinct_pre_token_is_counted_once(spark, sf, tmp_path, monkeypatch):
+    docs, log = spark.read.parquet(f"{sf}/documents.parquet"), str(tmp_path / "log")
+    count = T.pieces
+
+    def logged(tokenizer, token):
+        with open(log, "a") as file:
+            file.write(token + "\n")
+        return count(tokenizer, token)
+
+    monkeypatch.setattr(T, "check", lambda *_: None)
+    monkeypatch.setattr(T, "pieces", logged)
+    got = T.count_tokens(docs, PATH, block_text=20_000).collect()
+    counted = open(log).read().split("\n")[:-1]
+    monkeypatch.setattr(T, "pieces", count)
+    assert len(counted) == len({*counted}) > 1000 and sorted(got) == sorted(T.query(docs).collect())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("abcé", min_size=1, max_size=3), unique=True, min_size=1), st.integers(1, 9))
+def test_dealt_lists_keep_every_place(tokens, buckets):
+    bucket, texts, places = T.dealt(tokens, buckets)
+    step, begin = T.unpacked(places)
+    back = {int(p): t for k, text in enumerate(texts) for p, t in zip(np.cumsum(step[begin[k] : begin[k + 1]]), text.split("\n"), strict=True)}
+    assert [back[k] for k in range(len(tokens))] == tokens and len({*bucket.tolist()}) == len(bucket)
 
 
 def test_query(spark, sf):

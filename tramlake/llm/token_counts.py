@@ -6,9 +6,9 @@ pre-token into pieces by itself. So a text's count is the sum over its distinct
 1. One map cuts the documents into blocks of up to BLOCK_TEXT bytes. A block has a list of its distinct pre-tokens; each of its documents
    has the frequencies of its pre-tokens by their place in that list, some two bytes for each. Pre-tokens never cross white space, so
    texts are split there by Arrow and the library splits only the runs that are new to a task. Lists and frequencies are written once.
-2. The distinct pre-tokens of all lists (combined before the shuffle) go through the library's model, each once.
-3. Their pieces are joined back to the lists, which are a small part of the text: a pre-token is a row a block, however often it
-   occurs in it. A block's pieces, a row, and its documents meet in a task that sums over the frequencies, document by document.
+2. The lists are dealt by a hash of the pre-token: a row is a block's part of a bucket. There, each distinct pre-token of the corpus goes
+   through the library's model once, and its pieces are joined to all blocks that have it. More text makes more buckets.
+3. The pieces go back to their block, whose documents meet them in a task that sums over the frequencies, document by document.
 
 Nothing is shuffled that has a row a document and pre-token, and no token id is made.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import zlib
 from uuid import uuid4
 
 import numpy as np
@@ -29,13 +30,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tramlake.llm.common import as_bytes, shared_dir
+from tramlake.llm.common import as_bytes, partitions_for, shared_dir
 
 LIMIT = 2048
 #: The tokenizer file goes to the executors whole; one that is larger than this is refused.
 FILE_BYTES = 64 << 20
 #: Bytes of text in a block; runs whose pre-tokens a task keeps, and the longest run that it keeps.
-BLOCK_TEXT, KEPT, KEPT_BYTES = 8 << 20, 100_000, 48
+BLOCK_TEXT, KEPT, KEPT_BYTES = 8 << 20, 300_000, 48
 #: Runs that are split by the library at once.
 AT_ONCE = 20_000
 #: What is in front of a run that holds a special string, in the place of a pre-token.
@@ -196,8 +197,23 @@ def cuts(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(docs: DataFrame, shared, block_text: int) -> DataFrame:
-    """Rows of two kinds: a block's list (block, vocabulary), and its documents (block, doc_id, n_bytes, entries and more as frequencies() has them)."""
+def dealt(tokens: list[str], buckets: int):
+    """Of a block's list for each bucket: its number, the pre-tokens, a line each, and their places, packed."""
+    own = np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) % buckets for t in tokens), np.int64, len(tokens))
+    order = np.argsort(own, kind="stable")
+    begin = np.concatenate((np.flatnonzero(np.diff(own[order], prepend=-1)), [len(order)]))
+    step = np.diff(order, prepend=0)
+    step[begin[:-1]] = order[begin[:-1]]
+    listed = np.array(tokens, object)[order].tolist()
+    texts = ["\n".join(listed[a:b]) for a, b in zip(begin, begin[1:], strict=False)]
+    if sum(t.count("\n") + 1 for t in texts) != len(tokens):
+        raise ValueError("a pre-token has a line break")
+    return own[order][begin[:-1]], texts, packed(step, begin)
+
+
+def blocks(docs: DataFrame, shared, block_text: int, buckets: int) -> DataFrame:
+    """Rows of two kinds: a block's list, bucket by bucket (block, bucket, tokens, places), and its documents (block, doc_id, n_bytes, entries and more as
+    frequencies() has them)."""
     kind = docs.schema["doc_id"].dataType
 
     def cut_up(batches):
@@ -212,16 +228,18 @@ def blocks(docs: DataFrame, shared, block_text: int) -> DataFrame:
             for a, b in cuts(sizes, block_text):
                 tokens, at, n, begin = block(texts.slice(a, b - a), split)
                 entries, more = frequencies(at, n, begin)
-                own, ids = pa.array([place << 32 | number] * (b - a), pa.int64()), batch.column("doc_id").slice(a, b - a)
-                none = pa.nulls(b - a, pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([own, none, ids, pa.array(sizes[a:b], pa.int64()), entries, more], names=names)
+                ids = batch.column("doc_id").slice(a, b - a)
+                yield rows(place << 32 | number, b - a, doc_id=ids, n_bytes=pa.array(sizes[a:b], pa.int64()), entries=entries, more=more)
                 if tokens:
-                    cells = [pa.nulls(1, t) for t in (ids.type, pa.int64(), pa.binary(), pa.binary())]
-                    yield pa.RecordBatch.from_arrays([own.slice(0, 1), pa.array([tokens], pa.list_(pa.string())), *cells], names=names)
+                    bucket, listed, places = dealt(tokens, buckets)
+                    yield rows(place << 32 | number, len(bucket), doc_id=pa.nulls(len(bucket), ids.type), bucket=pa.array(bucket), tokens=pa.array(listed, pa.string()), places=places)
                 number += 1
 
-    names = ["block", "vocabulary", "doc_id", "n_bytes", "entries", "more"]
-    schema = T.StructType.fromDDL("block bigint, vocabulary array<string>, doc_id int, n_bytes bigint, entries binary, more binary")
+    def rows(number: int, n: int, **cells):
+        return pa.RecordBatch.from_arrays([cells.get(name, pa.array([number] * n) if name == "block" else pa.nulls(n, t)) for name, t in kinds.items()], names=[*kinds])
+
+    kinds = {"block": pa.int64(), "bucket": pa.int64(), "tokens": pa.string(), "places": pa.binary(), "doc_id": None, "n_bytes": pa.int64(), "entries": pa.binary(), "more": pa.binary()}
+    schema = T.StructType.fromDDL("block bigint, bucket bigint, tokens string, places binary, doc_id int, n_bytes bigint, entries binary, more binary")
     schema["doc_id"].dataType = kind
     return docs.select("doc_id", as_bytes("text").alias("text")).mapInArrow(cut_up, schema)
 
@@ -236,41 +254,51 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_text: int
     check(*loaded(data))
     shared = spark.sparkContext.broadcast(data)
 
-    def counted(batches):
-        tokenizer, _ = loaded(shared.value)
+    def joined(batches):
+        """Parts of lists, sorted by bucket, to the pieces of each part's pre-tokens, by place."""
+        (tokenizer, _), now, known = loaded(shared.value), None, {}
         for batch in batches:
-            n = [pieces(tokenizer, t) for t in batch.column("token").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("token"), pa.array(n, pa.int64())], names=["token", "pieces"])
+            parts = []
+            for bucket, tokens in zip(batch.column("bucket").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+                if bucket != now:
+                    now, known = bucket, {}
+                tokens = tokens.split("\n")
+                known.update((t, pieces(tokenizer, t)) for t in tokens if t not in known)
+                parts.append([known[t] for t in tokens])
+            found = packed(np.array([n for p in parts for n in p], np.int64), np.cumsum([0, *map(len, parts)]))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("places"), found], names=["block", "places", "pieces"])
 
     def summed(batches):
-        """Rows sorted by block, a block's pieces first, to the counts of its documents."""
+        """Rows sorted by block, its pieces first, to the counts of its documents."""
         now, sizes = None, np.empty(0, np.int64)
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            found = batch.column("found").is_valid().to_numpy(zero_copy_only=False)
-            edges = [0, *(np.flatnonzero((block[1:] != block[:-1]) | found[1:] | found[:-1]) + 1).tolist(), len(block)]
+            block, found = batch.column("block").to_numpy(), batch.column("pieces").is_valid().to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((block[1:] != block[:-1]) | (found[1:] != found[:-1])) + 1).tolist(), len(block)]
             for a, b in zip(edges, edges[1:], strict=False):
                 if a == b:
                     continue
-                if found[a]:
-                    pairs = batch.column("found")[a].values.to_numpy()
-                    now, sizes = block[a], np.zeros(len(pairs), np.int64)
-                    sizes[pairs >> 32] = pairs & (1 << 32) - 1
-                    continue
+                if block[a] != now:
+                    now, sizes = block[a], np.empty(0, np.int64)
                 part = batch.slice(a, b - a)
-                n = totals(part.column("entries"), part.column("more"), sizes if now == block[a] else np.empty(0, np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+                if found[a]:
+                    step, begin = unpacked(part.column("places"))
+                    place = np.cumsum(step)
+                    place -= np.repeat(np.concatenate(([0], place))[begin[:-1]], np.diff(begin))
+                    more = int(place.max(initial=-1)) + 1 - len(sizes)
+                    sizes = np.concatenate((sizes, np.zeros(max(0, more), np.int64)))
+                    sizes[place] = unpacked(part.column("pieces"))[0]
+                else:
+                    n = totals(part.column("entries"), part.column("more"), sizes)
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     # A table and not a checkpoint, which would take several times the room.
     folder = f"{shared_dir(spark)}/tokens-{uuid4().hex}"
-    blocks(docs, shared, block_text).write.parquet(folder)
+    blocks(docs, shared, block_text, partitions_for(docs)).write.parquet(folder)
     held = spark.read.parquet(folder)
-    listed = held.where("vocabulary IS NOT NULL").select("block", F.posexplode("vocabulary").alias("place", "token"))
-    known = listed.select("token").distinct().mapInArrow(counted, "token string, pieces bigint")
-    pair = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("pieces"))
-    found = listed.join(known, "token").groupBy("block").agg(F.collect_list(pair).alias("found"))
-    rows = held.where("n_bytes IS NOT NULL").drop("vocabulary").unionByName(found, allowMissingColumns=True)
-    rows = rows.repartition("block").sortWithinPartitions("block", F.col("found").isNull())
+    lists = held.where("tokens IS NOT NULL").select("block", "bucket", "tokens", "places")
+    found = lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(joined, "block bigint, places binary, pieces binary")
+    rows = held.where("n_bytes IS NOT NULL").select("block", "doc_id", "n_bytes", "entries", "more").unionByName(found, allowMissingColumns=True)
+    rows = rows.repartition("block").sortWithinPartitions("block", F.col("pieces").isNull())
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL("n_bytes bigint, n_tokens bigint").fields])
     return rows.mapInArrow(summed, schema).withColumn("over_limit", F.col("n_tokens") > limit)
 
