@@ -336,6 +336,17 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(r.r_regionkey, store.get(p).decode()) for r, p in zip(rows, paths, strict=True)], "r_regionkey int, content string")
 
 
+@registered("SELECT TIMESTAMP '2024-01-01 04:00:00' + to_days(r_regionkey) AS date, count(n_name)::BIGINT AS row_count FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL")
+def blob_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blobs, a region's nations each, to the items of a validated batch."""
+    store = Blobs(spark, compaction.shared_folder(spark, "blobs"))
+    nations = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.to_json(F.collect_list(F.struct(F.col("n_name").alias("name")))).alias("data"))
+    for r in nations.collect():
+        store.put("nations", datetime(2024, 1, 1 + r.n_regionkey, 4), r.data)
+    items, _ = compaction.batch(store.snapshots("nations"), "struct<name:string>", {"name": "string"}, "name")
+    return items.groupBy("date").agg(F.count("*").alias("row_count"))
+
+
 # The catalog and its runners
 
 

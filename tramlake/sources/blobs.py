@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 class Blobs:
@@ -39,6 +39,11 @@ class Blobs:
         """path and content of the files; empty ones give no row."""
         return self.spark.read.format("binaryFile").load(paths).select("path", "content")
 
+    def snapshots(self, node: str) -> DataFrame:
+        """date and data (text) of a node's blobs, as compaction reads them; a task opens the files it is dealt."""
+        rows = self.spark.read.format("binaryFile").load(f"{self.folder}/{node}")
+        return rows.select(F.to_timestamp_ntz(F.substring_index("path", "/", -1), F.lit("yyyy-MM-dd_HH-mm-ss")).alias("date"), F.col("content").cast("string").alias("data"))
+
     def delete(self, path: str) -> bool:
         """Removes a blob or a folder; False if there is none."""
         store, place = self._at(path)
