@@ -14,7 +14,7 @@ def brute_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(rows):
+def brute_groups(rows):
     prints = [brute_print(t) for _, t in rows]
     label = list(range(len(rows)))
     for a in range(len(rows)):
@@ -40,7 +40,7 @@ def test_against_brute_force(spark, sf, tree):
     rows = ROWS + [(r.doc_id + 1000, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in S.near_duplicates(docs, tree).collect()]
-    assert sorted(got, key=repr) == brute_components(rows)
+    assert sorted(got, key=repr) == brute_groups(rows)
     if tree == S.TREE:
         assert sorted((tuple(r) for r in S.query(docs).collect()), key=repr) == sorted(got, key=repr)
 
@@ -105,7 +105,7 @@ def test_one_of_each_group_stays(spark):
     left = S.first_of_each(docs)
     assert left.columns == docs.columns
     # The copy without an id goes; what is in no group with an id stays.
-    assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted({c for _, _, c in brute_components(ROWS)}, key=repr)
+    assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted({c for _, _, c in brute_groups(ROWS)}, key=repr)
 
 
 def test_texts_that_share_an_id_are_judged_one_by_one(spark):
@@ -131,7 +131,7 @@ def test_hot_fingerprints_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(S, "HOT", 3)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in S.near_duplicates(docs).collect()]
-    assert sorted(got, key=repr) == brute_components(rows)
+    assert sorted(got, key=repr) == brute_groups(rows)
 
 
 def test_empty_table(spark):

@@ -143,7 +143,7 @@ def linked(fps: np.ndarray, tree_of: np.ndarray, queries: np.ndarray, asks: np.n
 
 
 def merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels (the least index of each component) after joining the pairs a, b."""
+    """Labels (the least index of each group) after joining the pairs a, b."""
     while len(a):
         x, y = label[a], label[b]
         apart = x != y
@@ -281,7 +281,7 @@ def links(distinct: DataFrame, tree: int = TREE, most: int = MOST) -> DataFrame:
 
 
 def grouped(edges: DataFrame, most: int = 50) -> DataFrame:
-    """(a, b) pairs of longs to (node, root): root is the least node of the group; only nodes with a pair are listed."""
+    """(a, b) pairs of longs to (node, root): root is the least node of the group, and listed too; only nodes with a pair are listed."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     seen, parts = None, edges.count() // EDGES + 1  # a step never makes more pairs
     for _ in range(most):
@@ -297,7 +297,8 @@ def grouped(edges: DataFrame, most: int = 50) -> DataFrame:
         edges = cut(small.union(least.select("a", F.col("root").alias("b"))).distinct().coalesce(parts))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            # In as many partitions as the pairs again, which the roots alone would not be.
+            return cut(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct()).coalesce(parts))
         seen = now
     raise RuntimeError("groups did not settle")
 
@@ -307,8 +308,7 @@ def groups_of(prints: DataFrame, tree: int = TREE) -> DataFrame:
     root (the least fp of its group) and component_id (the group's smallest doc_id)."""
     first = [F.min("first").alias("first")] if "first" in prints.columns else []
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), *first))
-    joined = grouped(links(distinct.select("fp"), tree))
-    members = joined.union(joined.select("root", "root").distinct()).withColumnsRenamed({"node": "fp"})
+    members = grouped(links(distinct.select("fp"), tree)).withColumnRenamed("node", "fp")
     linked = members.join(distinct, "fp")
     # The smallest ids of the groups with links, written first so that a group of very many members can be split.
     lows = cut(linked.groupBy("root").agg(F.min("low").alias("least")))
