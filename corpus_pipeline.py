@@ -29,6 +29,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/pipeline-{uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}")
-        docs = spark.read.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(path := f"{folder}/{k}")
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
