@@ -293,8 +293,9 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_text: int
 
     # A table and not a checkpoint, which would take several times the room.
     folder = f"{shared_dir(spark)}/tokens-{uuid4().hex}"
-    blocks(docs, shared, block_text, partitions_for(docs)).write.parquet(folder)
-    held = spark.read.parquet(folder)
+    held = blocks(docs, shared, block_text, partitions_for(docs))
+    held.write.parquet(folder)
+    held = spark.read.schema(held.schema).parquet(folder)
     lists = held.where("tokens IS NOT NULL").select("block", "bucket", "tokens", "places")
     found = lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(joined, "block bigint, places binary, pieces binary")
     rows = held.where("n_bytes IS NOT NULL").select("block", "doc_id", "n_bytes", "entries", "more").unionByName(found, allowMissingColumns=True)
