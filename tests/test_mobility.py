@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import date, datetime, timedelta
 
 import numpy as np
@@ -152,6 +153,42 @@ def test_random_observations_keep_the_rules(spark):
     identified(spark, rows, compat=True)
 
 
+def test_small_groups_share_batches_and_tasks(spark):
+    # Before, each group was a data frame of its own, and all of them went to one task.
+    df = spark.range(10_000).selectExpr("id AS row_id", "string(id % 4000) AS lineId", "int(id % 2) AS direction", "double(id) AS timestamp", "double(id % 700) AS distance", "string(null) AS uuid")
+    found = identify.identify(df, seconds=86400.0)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    began = time.perf_counter()
+    # Those of a line are 4,000 seconds apart.
+    assert found.select("uuid").distinct().count() == 10_000
+    assert time.perf_counter() - began < 15
+
+
+def test_groups_over_several_batches(spark):
+    rng = np.random.default_rng(4)
+    lines = [None, "7", "48", "81"]
+    rows = [(k, lines[k % 7 % 4], [1, 2, None][k % 3], float(20 * rng.integers(0, 60)), float(rng.integers(0, 3000)), None) for k in range(400)]
+    df = spark.createDataFrame(rows, "row_id long, lineId string, direction int, timestamp double, distance double, uuid string")
+    want = sorted(map(str, identify.identify(df).collect()))
+    for size in (1, 7, 100):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert sorted(map(str, identify.identify(df).collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(want) == 400
+
+
+def test_a_long_group_looks_minutes_ahead():
+    # Each step scored all rows anew for every trip before.
+    at = np.repeat(400.0 * np.arange(1500), 4)
+    group = identify.Group("48", at, np.tile([0.0, 0.0, 500.0, 900.0], 1500), [None] * 6000)
+    began = time.perf_counter()
+    group.match()
+    assert sorted(i for trip in group.trips for i in trip) == list(range(6000)) and len(group.trips) == 6000
+    assert time.perf_counter() - began < 5
+
+
 def test_identified_positions_with_state(spark, net):
     at = lambda k, v: {"x": 4.0 + 0.002 * k + 0.0005 * v, "y": 50.0}
     rows = [(10, "1", 1, 0.0, "#222222", at(k, 0), 1000.0 + 20 * k) for k in range(5)]
