@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -69,6 +70,13 @@ def test_one_language_none_and_empty_tables(spark):
     assert L.query(docs.limit(0)).count() == 0
 
 
+def test_the_sample_does_not_reach_the_driver(spark, monkeypatch):
+    fit = L.fit
+    monkeypatch.setattr(L, "fit", lambda x, lang: fit(x, lang) | {"by": os.getpid(), "rows": len(lang)})
+    model = L.train(spark.createDataFrame(ROWS[:60], "doc_id long, text string, lang string"))
+    assert model["by"] != os.getpid() and model["rows"] == sum(zlib.crc32(str(r[0]).encode()) % 4 != 2 for r in ROWS[:60])
+
+
 def test_many_languages_have_a_row_each(spark, monkeypatch):
     rows = [(k, f"{'abcdefghij'[k % 10] * 3} {'klmnopqrst'[k % 10] * 4} word{k}", f"l{k % 10}") for k in range(200)] + [(1000 + k, "zzz yyyy xx", "rare") for k in range(1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")

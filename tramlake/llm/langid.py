@@ -6,8 +6,8 @@ weighted by how well its classifier did on that language's training rows; a text
 further from that codeword than the code can correct, or if the runner-up's loss is almost the same.
 
 Training uses a bounded sample: about QUOTA doc_ids a language and TRAIN_ROWS in all, one at least of each language, chosen by a
-hash of doc_id among the rows that are not held out. Only their n-gram counts, of fixed size, reach the driver. More than LANGUAGES
-languages are refused.
+hash of doc_id among the rows that are not held out. Their n-gram counts, of fixed size, go to one task; only the model reaches the
+driver. More than LANGUAGES languages are refused.
 
 Defined cases: null text, or text without a letter, is `und` with score 0; no labelled rows at all makes every text `und`; one
 language alone is predicted for all; a null lang teaches nothing; of rows that share a lang and doc_id the least text teaches;
@@ -16,6 +16,7 @@ texts with equal letters get equal predictions.
 
 from __future__ import annotations
 
+import pickle
 from itertools import product
 
 import numpy as np
@@ -138,11 +139,18 @@ def train(docs: DataFrame) -> dict | None:
                 yield pa.RecordBatch.from_arrays([pa.array(lang[k : k + 256]), pa.array([scaled(c[None])[0].astype(np.float16).tobytes() for c in found])], names=["lang", "x"])
 
     once = rows.where(F.col("lot") < drawn).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
-    sample = once.select("lang", "text").mapInArrow(counted, "lang string, x binary").toArrow()
-    order = sorted(zip(sample.column("lang").to_pylist(), sample.column("x").to_pylist(), strict=True))
-    if not order:
-        return None
-    return fit(np.stack([np.frombuffer(x, np.float16).astype(np.float32) for _, x in order]), [v for v, _ in order])
+    sample = once.select("lang", "text").mapInArrow(counted, "lang string, x binary")
+
+    def fitted(batches):
+        lang, x = [], []
+        for batch in batches:
+            lang += batch.column("lang").to_pylist()
+            x += [np.frombuffer(c, np.float16) for c in batch.column("x").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(np.stack(x).astype(np.float32), lang)) if lang else None], pa.binary())], names=["model"])
+
+    # TRAIN_ROWS bounds the task: 32 MB of counts.
+    models = sample.repartition(1).sortWithinPartitions("lang", "x").mapInArrow(fitted, "model binary").collect()
+    return next((pickle.loads(r.model) for r in models if r.model), None)
 
 
 def identify(docs: DataFrame, model: dict | None, keep: list[str] | None = None) -> DataFrame:
